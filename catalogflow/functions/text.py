@@ -12,7 +12,7 @@ PUNCTUATION = r"[.,;:!?\-]"
 TOKEN_SEPARATORS = r"""[\.,;:!?\(\)\[\]\{\}"'`~/\\\-_<>\|=\+\*&%\$#@]"""
 
 _HIDDEN_BLOCKS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[!/?]?[a-z][^>]*>"
-_NAMED_ASCII = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")]
+_NAMED_SIGNS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0")]
 
 
 def _text(c: Column) -> Column:
@@ -60,17 +60,17 @@ def clean_description_native(markup: Column) -> Column:
 
     Differs from the parser only on numeric references (dropped, not decoded), on the rare
     named references of ASCII signs, on CDATA and on a ``>`` inside an attribute value.
-    Other named references stand for non-ASCII characters, which are dropped anyway.
+    Other named references stand for non-ASCII characters, which are dropped at the end.
     """
     text = F.regexp_replace(markup, _HIDDEN_BLOCKS, "\u0001")
-    for name, sign in _NAMED_ASCII:
+    for name, sign in _NAMED_SIGNS:
         text = F.replace(text, F.lit(name), F.lit(sign))
     # Ampersands are set aside, so that what they precede is not decoded a second time.
     text = F.replace(text, F.lit("&amp;"), F.lit("\u0002"))
-    text = F.regexp_replace(text, "&[a-zA-Z][a-zA-Z0-9]*;", "")
+    text = F.regexp_replace(text, "&[a-zA-Z][a-zA-Z0-9]*;", "\ufffd")
     text = F.replace(text, F.lit("\u0002"), F.lit("&"))
     pieces = F.split(text, "\u0001")
-    pieces = F.transform(pieces, lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+    pieces = F.transform(pieces, lambda x: F.regexp_replace(x, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
     return _drop_noise(F.concat_ws("\n", F.filter(pieces, lambda x: x != "")))
 
 

@@ -28,15 +28,15 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Cal
     return register
 
 
-def r6(value: Column | str, name: str | None = None) -> Column:
+def r6(value: Column | str, name: str | None = None, digits: int = 6) -> Column:
     """Six decimals, without a negative zero."""
     column = F.col(value) if isinstance(value, str) else value
-    rounded = F.round(column.cast("double"), 6) + F.lit(0.0)
+    rounded = F.round(column.cast("double"), digits) + F.lit(0.0)
     return rounded.alias(name or (value if isinstance(value, str) else "value"))
 
 
-def s6(expression: str, name: str | None = None) -> str:
-    return f"round(CAST({expression} AS DOUBLE), 6) + 0.0::DOUBLE AS {name or expression}"
+def s6(expression: str, name: str | None = None, digits: int = 6) -> str:
+    return f"round(CAST({expression} AS DOUBLE), {digits}) + 0.0::DOUBLE AS {name or expression}"
 
 
 def spread(vector: Column, n: int, prefix: str) -> list[Column]:
