@@ -186,8 +186,8 @@ def one_vs_rest_histogram(df: DataFrame, classes: DataFrame | Sequence[int], n_b
         wanted = classes.agg(F.collect_list("class")).scalar()
     else:
         wanted = F.array(*[F.lit(int(c)) for c in classes])
-    per_class = F.transform(wanted, lambda c: F.struct(c.alias("class"), V.p_of(F.col("p"), c).alias("p_c")))
-    exploded = df.select("y", F.explode(per_class).alias("s")).select(
+    per_class = F.transform(F.col("_wanted"), lambda c: F.struct(c.alias("class"), V.p_of(F.col("p"), c).alias("p_c")))
+    exploded = df.select("y", "p", wanted.alias("_wanted")).select("y", F.explode(per_class).alias("s")).select(
         F.col("s.class").alias("class"), (F.col("y") == F.col("s.class")).alias("positive"), F.col("s.p_c").alias("p_c")
     )
     scores = _with_scores(class_marginals(confusion_matrix(df))).select("class", "f1")

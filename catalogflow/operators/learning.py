@@ -10,10 +10,9 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
-    OneVsRest,
-    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -130,30 +129,43 @@ def meta_rows(df: DataFrame, t_text: float, t_image: float, tabular: str = "tabu
 
 
 def meta_classifier(train: DataFrame, label: str, params: Mapping[str, float] | None = None,
-                    boosted: bool = False, vector: str = "meta") -> PipelineModel:
-    """Multi-class trees on the meta vector: a random forest, or boosted trees one class at a time."""
+                    vector: str = "meta") -> PipelineModel:
+    """Random forest on the meta vector, the native multi-class trees of Spark ML."""
     params = dict(params or {})
     seed = int(params.pop("seed", 42))
     rows = train.select(array_to_vector(vector).alias("_x"), F.col(label).cast("double").alias("_y"))
-    if boosted:
-        trees = GBTClassifier(featuresCol="_x", labelCol="_y", seed=seed, **params)
-        model = OneVsRest(classifier=trees, featuresCol="_x", labelCol="_y", predictionCol="_pred",
-                          rawPredictionCol="_raw")
-    else:
-        model = RandomForestClassifier(featuresCol="_x", labelCol="_y", seed=seed, probabilityCol="_p",
-                                       rawPredictionCol="_raw", predictionCol="_pred", **params)
-    return Pipeline(stages=[model]).fit(rows)
+    trees = RandomForestClassifier(featuresCol="_x", labelCol="_y", seed=seed, probabilityCol="_p",
+                                   rawPredictionCol="_raw", predictionCol="_pred", **params)
+    return Pipeline(stages=[trees]).fit(rows)
+
+
+def boosted_meta_classifier(train: DataFrame, label: str, n_classes: int, params: Mapping[str, float] | None = None,
+                            vector: str = "meta") -> PipelineModel:
+    """Gradient-boosted trees, binary in Spark ML, fitted one class against the rest."""
+    params = dict(params or {})
+    seed = int(params.pop("seed", 42))
+    rows = train.select(array_to_vector(vector).alias("_x"), F.col(label).alias("_label"))
+    models = []
+    for c in range(n_classes):
+        trees = GBTClassifier(featuresCol="_x", labelCol="_y", seed=seed, probabilityCol=f"_p{c}",
+                              rawPredictionCol=f"_raw{c}", predictionCol=f"_pred{c}", **params)
+        models.append(trees.fit(rows.withColumn("_y", (F.col("_label") == c).cast("double"))))
+    return PipelineModel(models)
 
 
 def meta_predict(model: PipelineModel, rows: DataFrame, n_classes: int, vector: str = "meta") -> DataFrame:
-    """Adds ``p`` and ``pred``. One-vs-rest margins become probabilities by a softmax."""
+    """Adds ``p`` and ``pred``; one-against-rest probabilities are normalized to add up to one."""
     scored = model.transform(rows.withColumn("_x", array_to_vector(vector)))
-    trees = model.stages[-1]
-    raw = vector_to_array("_p") if "_p" in scored.columns else V.softmax(vector_to_array("_raw"))
-    scored = scored.withColumn("_pa", raw)
-    known = len(trees.models) if isinstance(trees, OneVsRestModel) else trees.numClasses
-    p = V.align_classes(F.col("_pa"), range(known), n_classes)
-    return scored.withColumn("p", p).withColumn("pred", V.argmax(F.col("p"))).drop("_x", "_raw", "_p", "_pred", "_pa")
+    if isinstance(model.stages[-1], GBTClassificationModel):
+        parts = range(len(model.stages))
+        raw = F.array(*[F.get(vector_to_array(f"_p{c}"), F.lit(1)) for c in parts])
+        p = V.let(raw, lambda r: V.let(V.vsum(r), lambda total: F.transform(r, lambda x: x / total)))
+        used = [f"{c}{i}" for c in ("_p", "_raw", "_pred") for i in parts]
+    else:
+        scored = scored.withColumn("_pa", vector_to_array("_p"))
+        p = V.align_classes(F.col("_pa"), range(model.stages[-1].numClasses), n_classes)
+        used = ["_p", "_raw", "_pred", "_pa"]
+    return scored.withColumn("p", p).withColumn("pred", V.argmax(F.col("p"))).drop("_x", *used)
 
 
 def sample_space(space: Mapping[str, tuple], n_trials: int, seed: int) -> list[dict]:
@@ -219,10 +231,12 @@ DEFAULT_SPACE = {"numTrees": ("int", 10, 30), "maxDepth": ("int", 4, 8), "minIns
 
 def stacking_fit(df: DataFrame, key: str, label: str, n_classes: int, c: Mapping[str, float] | None = None,
                  k: int = 5, seed: int = 42, space: Mapping[str, tuple] | None = DEFAULT_SPACE,
-                 n_trials: int = 4, params: dict | None = None, max_iter: int = 100) -> tuple[StackedModel, DataFrame]:
+                 n_trials: int = 4, params: dict | None = None, max_iter: int = 100,
+                 boosted: bool = False) -> tuple[StackedModel, DataFrame]:
     """Out-of-fold base models, temperatures, derived features, search, then a refit on all rows.
 
-    Returns the model and the out-of-fold table it was calibrated on.
+    The search is over forest settings; ``boosted`` needs ``params``. Returns the model and
+    the out-of-fold table it was calibrated on.
     """
     c = c or {"text": 0.01, "image": 0.1}
     oof = oof_probabilities(df, key, label, n_classes, c, k, seed, max_iter)
@@ -233,7 +247,7 @@ def stacking_fit(df: DataFrame, key: str, label: str, n_classes: int, c: Mapping
         params, trials = param_search(rows, label, space, n_classes, n_trials, k, seed=seed)
     n = rows.count()
     text, image = (base_classifier(df, f"{m}_vector", label, c[m], max_iter, n) for m in MODALITIES)
-    meta = meta_classifier(rows, label, params)
+    meta = boosted_meta_classifier(rows, label, n_classes, params) if boosted else meta_classifier(rows, label, params)
     return StackedModel(text, image, t["text"], t["image"], meta, n_classes, params, trials), oof
 
 

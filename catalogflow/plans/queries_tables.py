@@ -259,13 +259,13 @@ def _(spark, folder):
     return out.withColumns({c: r6(c) for c in ("gain_sum", "gain_mean", "split_mean", "gain_share", "split_share")})
 
 
-# Scores have seven decimals, so their means tie at six; nine tell them apart.
-@query("trial_summary", f"""SELECT trial, {s6('avg(score)', 'mean_score', 9)}, {s6('stddev_pop(score)', 'std_score', 9)},
-    {s6('avg(score) - 0.25::DOUBLE * stddev_pop(score)', 'objective', 9)}, {s6('avg(best_iter)', 'best_iters_mean', 9)}, max(best_iter) AS best_iters_max
+# Scores have seven decimals, so figures of few folds tie at six; eleven tell them apart.
+@query("trial_summary", f"""SELECT trial, {s6('avg(score)', 'mean_score', 11)}, {s6('stddev_pop(score)', 'std_score', 11)},
+    {s6('avg(score) - 0.25::DOUBLE * stddev_pop(score)', 'objective', 11)}, {s6('avg(best_iter)', 'best_iters_mean', 11)}, max(best_iter) AS best_iters_max
     FROM trials GROUP BY trial""", ("trials",))
 def _(spark, folder):
     out = ag.trial_summary(st.trials(spark, folder))
-    return out.withColumns({c: r6(c, digits=9) for c in ("mean_score", "std_score", "objective", "best_iters_mean")})
+    return out.withColumns({c: r6(c, digits=11) for c in ("mean_score", "std_score", "objective", "best_iters_mean")})
 
 
 @query("trial_stability", f"""WITH o AS (SELECT avg(score) - 0.25::DOUBLE * stddev_pop(score) AS objective FROM trials GROUP BY trial)
