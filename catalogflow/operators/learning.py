@@ -147,8 +147,8 @@ def boosted_meta_classifier(train: DataFrame, label: str, n_classes: int, params
     rows = train.select(array_to_vector(vector).alias("_x"), F.col(label).alias("_label"))
     models = []
     for c in range(n_classes):
-        trees = GBTClassifier(featuresCol="_x", labelCol="_y", seed=seed, probabilityCol=f"_p{c}",
-                              rawPredictionCol=f"_raw{c}", predictionCol=f"_pred{c}", **params)
+        trees = GBTClassifier(featuresCol="_x", labelCol="_y", seed=seed, predictionCol=f"_pred{c}", **params)
+        trees.setProbabilityCol(f"_p{c}").setRawPredictionCol(f"_raw{c}")
         models.append(trees.fit(rows.withColumn("_y", (F.col("_label") == c).cast("double"))))
     return PipelineModel(models)
 
