@@ -78,37 +78,44 @@ def oof_probabilities(df: DataFrame, key: str, label: str, n_classes: int, c: Ma
     return materialize(result, "oof")
 
 
-def nll_at(p: Column, label: Column, temperature: Column, eps: float = V.PROB_EPS) -> Column:
-    """-ln(softmax(ln p / T)[label] + eps), with the log-probabilities shifted by their maximum."""
+def vector_size(df: DataFrame, p: str) -> int:
+    row = df.select(F.size(p)).first()
+    return row[0] if row else 0
 
-    def of(logs: Column) -> Column:
-        top = F.array_max(logs)
-        total = V.let(top, lambda m: F.aggregate(logs, F.lit(0.0), lambda acc, x: acc + F.exp((x - m) / temperature)))
-        return -F.ln(F.exp((F.get(logs, label) - top) / temperature) / total + F.lit(eps))
 
-    return V.let(V.log_clipped(p), of)
+def temperature_nll(df: DataFrame, temperatures: Sequence[float], y: str = "y", p: str = "p",
+                    n_classes: int | None = None, eps: float = V.PROB_EPS) -> DataFrame:
+    """Mean of -ln(softmax(ln p / T)[y] + eps) at each temperature, all in one pass.
 
+    The log-probabilities, shifted by their maximum, become one column per class, so the
+    sums over classes are plain arithmetic and compile; loops over arrays would not.
+    """
+    k = n_classes or vector_size(df, p)
+    logs = df.select(F.col(y).alias("_y"), V.log_clipped(F.col(p)).alias("_l")).select(
+        "_l", (F.get("_l", F.col("_y")) - F.array_max("_l")).alias("_ly"), F.array_max("_l").alias("_m"))
+    wide = logs.select("_ly", *[(F.get("_l", F.lit(i)) - F.col("_m")).alias(f"_l{i}") for i in range(k)])
+
+    def nll(t: float) -> str:
+        total = " + ".join(f"exp(_l{i} / {t!r}D)" for i in range(k))
+        return f"avg(-ln(exp(_ly / {t!r}D) / ({total}) + {eps!r}D))"
 
-def temperature_nll(df: DataFrame, temperatures: Sequence[float], y: str = "y", p: str = "p") -> DataFrame:
-    """Mean negative log likelihood at each temperature, all in one pass over the rows."""
-    means = df.agg(*[
-        F.avg(nll_at(F.col(p), F.col(y), F.lit(float(t)))).alias(f"t{i}") for i, t in enumerate(temperatures)
-    ])
+    means = wide.selectExpr(*[f"{nll(float(t))} AS t{i}" for i, t in enumerate(temperatures)])
     pairs = [F.struct(F.lit(float(t)).alias("temperature"), F.col(f"t{i}").alias("nll")) for i, t in enumerate(temperatures)]
     return means.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
 
 
-def fit_temperature(df: DataFrame, y: str = "y", p: str = "p", rounds: int = 3) -> float:
+def fit_temperature(df: DataFrame, y: str = "y", p: str = "p", n_classes: int | None = None, rounds: int = 3) -> float:
     """Temperature in [0.1, 10] of least NLL, 1 unless it beats the uncalibrated NLL.
 
     The NLL is convex in 1 / T, so a coarse grid and two finer ones around its best point
     close in on the minimum; each round is one aggregation.
     """
     grid = [0.1 * 100.0 ** (i / GRID_POINTS) for i in range(GRID_POINTS + 1)]
+    n_classes = n_classes or vector_size(df, p)
     baseline, best_t, best = None, 1.0, math.inf
     for _ in range(rounds):
         tried = [*grid, 1.0]
-        losses = [r["nll"] for r in temperature_nll(df, tried, y, p).collect()]
+        losses = [r["nll"] for r in temperature_nll(df, tried, y, p, n_classes).collect()]
         baseline = losses[-1]
         i = min(range(len(grid)), key=losses.__getitem__)
         best_t, best = grid[i], losses[i]
@@ -240,7 +247,7 @@ def stacking_fit(df: DataFrame, key: str, label: str, n_classes: int, c: Mapping
     """
     c = c or {"text": 0.01, "image": 0.1}
     oof = oof_probabilities(df, key, label, n_classes, c, k, seed, max_iter)
-    t = {m: fit_temperature(oof, label, f"p_{m}") for m in MODALITIES}
+    t = {m: fit_temperature(oof, label, f"p_{m}", n_classes) for m in MODALITIES}
     rows = materialize(meta_rows(oof, t["text"], t["image"]).select(key, label, "fold", "meta"), "meta")
     trials = None
     if params is None:

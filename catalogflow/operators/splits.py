@@ -45,7 +45,7 @@ def class_sizes(histogram: DataFrame) -> DataFrame:
 
 
 def largest_remainder(sizes: DataFrame, fraction: float | Fraction, rounding: str = "ceil") -> DataFrame:
-    """Quota per class so that the quotas add up to ceil (or round) of n * fraction.
+    """Adds ``quota`` per class so that the quotas sum to ceil (or round) of n * fraction.
 
     Integer arithmetic throughout; remainders are given out largest first, ties by class.
     One row per class, so the global order is over the class dictionary only.
@@ -53,40 +53,36 @@ def largest_remainder(sizes: DataFrame, fraction: float | Fraction, rounding: st
     ratio = _ratio(fraction)
     num, den = ratio.numerator, ratio.denominator
     everything = Window.partitionBy()
-    total = F.sum("n").over(everything) * num
-    order = Window.orderBy(F.desc("remainder"), F.asc("class"))
-    rounded = F.lit(den - 1) if rounding == "ceil" else F.lit(den // 2)
+    order = Window.orderBy(F.desc("_remainder"), F.asc("class"))
+    extra = F.lit(den - 1) if rounding == "ceil" else F.lit(den // 2)
+    scaled = F.col("n") * num
+
+    def whole(c: Column) -> Column:
+        return F.call_function("div", c, F.lit(den))
+
+    target = whole(F.sum(scaled).over(everything) + extra)
     return (
-        sizes.withColumn("_scaled", F.col("n") * num)
-        .withColumn("base", F.expr(f"_scaled div {den}"))
-        .withColumn("remainder", F.col("_scaled") % den)
-        .withColumn("_target", total + rounded)
-        .withColumn("_target", F.expr(f"_target div {den}"))
-        .withColumn("_spare", F.col("_target") - F.sum("base").over(everything))
-        .withColumn(
-            "quota",
-            F.least(
-                F.col("n"),
-                F.col("base") + (F.row_number().over(order) <= F.col("_spare")).cast("long"),
-            ),
-        )
-        .select("class", "n", "quota")
+        sizes.withColumns({"_base": whole(scaled), "_remainder": scaled % den, "_target": target})
+        .withColumn("_spare", F.col("_target") - F.sum("_base").over(everything))
+        .withColumn("_more", (F.row_number().over(order) <= F.col("_spare")).cast("long"))
+        .withColumn("quota", F.least(F.col("n"), F.col("_base") + F.col("_more")))
+        .drop("_base", "_remainder", "_target", "_spare", "_more")
     )
 
 
 def cut_keys(df: DataFrame, label: str, key: str, seed: int, histogram: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Cut position -> the (hash, key) of the last row before the cut.
+    """Per class, the (hash, key) of the last row before each cut, as ``_last0``, ``_last1``, ...
 
-    ``cuts`` holds (class, cut_no, position), position counted in rows of the class.
-    A cut at position 0 has no row before it and stays absent.
+    ``cuts`` is (class, positions): cut positions in rows of the class. A cut at position 0
+    has no row before it and stays null.
     """
-    located = (
-        cuts.join(histogram, "class")
-        .where((F.col("position") > F.col("upto") - F.col("n")) & (F.col("position") <= F.col("upto")))
-        .select("class", "prefix", "cut_no", (F.col("position") - F.col("upto") + F.col("n")).alias("need"))
+    first, last = F.col("upto") - F.col("n"), F.col("upto")
+    inside = F.filter(
+        F.transform("positions", lambda p, i: F.struct((p - first).alias("need"), i.alias("cut_no"))),
+        lambda c: (c["need"] > 0) & (c["need"] <= F.col("n")),
     )
     cells = small_side(
-        located.groupBy("class", "prefix").agg(F.collect_list(F.struct("need", "cut_no")).alias("cuts"))
+        histogram.join(cuts, "class").select("class", "prefix", inside.alias("cuts")).where(F.size("cuts") > 0)
     )
     hashed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("class"), F.col(key).alias("id"), split_hash(F.col(key), seed).alias("hash")
@@ -111,15 +107,8 @@ def cut_keys(df: DataFrame, label: str, key: str, seed: int, histogram: DataFram
 def segment(df: DataFrame, label: str, key: str, seed: int, histogram: DataFrame, cuts: DataFrame,
             n_cuts: int, name: str = "segment") -> DataFrame:
     """Number of cuts each row lies behind, 0 .. n_cuts; null for rows without a class."""
-    lasts = cut_keys(df, label, key, seed, histogram, cuts)
-    per_class = small_side(
-        histogram.select("class").distinct().join(
-            lasts.groupBy("class").agg(
-                *[F.max(F.when(F.col("cut_no") == i, F.col("last"))).alias(f"_last{i}") for i in range(n_cuts)]
-            ),
-            "class",
-            "left",
-        )
+    lasts = cut_keys(df, label, key, seed, histogram, cuts).groupBy(F.col("class").alias("_class")).agg(
+        *[F.max(F.when(F.col("cut_no") == i, F.col("last"))).alias(f"_last{i}") for i in range(n_cuts)]
     )
     here = F.struct(split_hash(F.col(key), seed).alias("hash"), F.col(key).alias("id"))
     behind = [F.coalesce(here > F.col(f"_last{i}"), F.lit(True)).cast("int") for i in range(n_cuts)]
@@ -127,8 +116,8 @@ def segment(df: DataFrame, label: str, key: str, seed: int, histogram: DataFrame
     for b in behind[1:]:
         passed = passed + b
     return (
-        df.join(per_class.withColumnRenamed("class", "_class"), F.col(label) == F.col("_class"), "left")
-        .withColumn(name, F.when(F.col("_class").isNotNull(), passed))
+        df.join(small_side(lasts), F.col(label) == F.col("_class"), "left")
+        .withColumn(name, F.when(F.col(label).isNotNull(), passed))
         .drop("_class", *[f"_last{i}" for i in range(n_cuts)])
     )
 
@@ -144,12 +133,11 @@ def stratified_flag(df: DataFrame, label: str, key: str, fraction: float, seed:
     sizes = class_sizes(histogram)
     if rule == "floor":
         ratio = _ratio(fraction)
-        quotas = sizes.withColumn("_scaled", F.col("n") * ratio.numerator).withColumn(
-            "quota", F.expr(f"_scaled div {ratio.denominator}")
-        )
+        quota = F.call_function("div", F.col("n") * ratio.numerator, F.lit(ratio.denominator))
+        quotas = sizes.withColumn("quota", quota)
     else:
         quotas = largest_remainder(sizes, fraction)
-    cuts = quotas.select("class", F.lit(0).alias("cut_no"), F.col("quota").alias("position"))
+    cuts = quotas.select("class", F.array("quota").alias("positions"))
     out = segment(df, label, key, seed, histogram, cuts, 1, name)
     return out.withColumn(name, F.coalesce(F.col(name) == 0, F.lit(False)))
 
@@ -165,19 +153,18 @@ def assign_batches(df: DataFrame, label: str, key: str, fractions: Sequence[floa
     shares = [_ratio(f) for f in fractions]
     if sum(shares) != 1:
         raise ValueError(f"fractions must add up to 1, got {float(sum(shares))}")
+    if len(shares) == 1:
+        return df.withColumn(name, F.when(F.col(label).isNotNull(), F.lit(1)))
     histogram = small_histogram(df, label, key, seed)
-    left = class_sizes(histogram).withColumn("taken", F.lit(0).cast("long"))
-    rest, cuts = Fraction(1), None
-    for i, share in enumerate(shares[:-1]):
-        quotas = largest_remainder(left.select("class", "n"), share / rest, "round")
-        left = left.select("class", "taken").join(quotas, "class").select(
-            "class", (F.col("n") - F.col("quota")).alias("n"), (F.col("taken") + F.col("quota")).alias("taken")
-        )
-        cut = left.select("class", F.lit(i).alias("cut_no"), F.col("taken").alias("position"))
-        cuts = cut if cuts is None else cuts.unionByName(cut)
+    left = class_sizes(histogram).withColumns({"taken": F.lit(0).cast("long"), "positions": F.array().cast("array<bigint>")})
+    rest = Fraction(1)
+    for share in shares[:-1]:
+        left = largest_remainder(left, share / rest, "round").withColumns({
+            "n": F.col("n") - F.col("quota"), "taken": F.col("taken") + F.col("quota"),
+            "positions": F.array_append("positions", F.col("taken") + F.col("quota")),
+        }).drop("quota")
         rest -= share
-    if cuts is None:
-        return df.withColumn(name, F.when(F.col(label).isNotNull(), F.lit(1)))
+    cuts = left.select("class", "positions")
     out = segment(df, label, key, seed, histogram, cuts, len(shares) - 1, name)
     return out.withColumn(name, F.col(name) + 1)
 
@@ -185,12 +172,9 @@ def assign_batches(df: DataFrame, label: str, key: str, fractions: Sequence[floa
 def equal_parts(df: DataFrame, label: str, key: str, k: int, seed: int, name: str) -> DataFrame:
     """Part 0 .. k-1 of each class; part sizes inside a class differ by at most one."""
     histogram = small_histogram(df, label, key, seed)
-    cuts = (
-        class_sizes(histogram)
-        .select("class", "n", F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("part"))
-        .withColumn("_scaled", F.col("n") * F.col("part") + (k - 1))
-        .select("class", (F.col("part") - 1).alias("cut_no"), F.expr(f"_scaled div {k}").alias("position"))
-    )
+    parts = F.sequence(F.lit(1), F.lit(k - 1))
+    position = F.transform(parts, lambda i: F.call_function("div", F.col("n") * i + (k - 1), F.lit(k)))
+    cuts = class_sizes(histogram).select("class", position.alias("positions"))
     return segment(df, label, key, seed, histogram, cuts, k - 1, name)
 
 

@@ -43,7 +43,7 @@ def _(spark, folder):
 def _(spark, folder):
     rows = st.classes_of_all(spark, folder)
     sizes = rows.groupBy(F.col("prdtypecode").alias("class")).agg(F.count("*").alias("n"))
-    return sp.largest_remainder(sizes, 0.10)
+    return sp.largest_remainder(sizes, 0.10).select("class", "n", "quota")
 
 
 @query("assign_batches", f"""WITH {SIZES.format(source='classes')}, {quota('q1', 'sizes', 1, 2, 'round')},

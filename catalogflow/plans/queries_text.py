@@ -205,12 +205,12 @@ def _(spark, folder):
 
 @query("clean_description", f"SELECT page_id, {cleaned('html')} AS text FROM pages")
 def _(spark, folder):
-    return st.table(spark, folder, "pages").select("page_id", tx.clean_description(F.col("html")).alias("text"))
+    return st.texts(spark, folder, "pages").select("page_id", tx.clean_description(F.col("html")).alias("text"))
 
 
 @query("clean_description_native", f"SELECT page_id, {cleaned('html')} AS text FROM pages")
 def _(spark, folder):
-    return st.table(spark, folder, "pages").select("page_id", tx.clean_description_native(F.col("html")).alias("text"))
+    return st.texts(spark, folder, "pages").select("page_id", tx.clean_description_native(F.col("html")).alias("text"))
 
 
 @query("text_or_recompute", f"""SELECT productid, CASE WHEN productid % 3 = 2 THEN 'stored ' || productid ELSE {cleaned('full_text')} END AS text
@@ -258,7 +258,7 @@ def _(spark, folder):
 @query("tokenize", f"""SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens
     FROM (SELECT doc_id, {tokens('text')} AS t FROM documents)""")
 def _(spark, folder):
-    rows = st.table(spark, folder, "documents").select("doc_id", tx.tokenize(F.col("text")).alias("t"))
+    rows = st.texts(spark, folder).select("doc_id", tx.tokenize(F.col("text")).alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), F.concat_ws(" ", "t").alias("tokens"))
 
 
@@ -271,7 +271,7 @@ vocab AS (SELECT token, n, id FROM (SELECT token, n, row_number() OVER (ORDER BY
 
 def _training_text(spark, folder):
     keys = fl.train_pool(st.classes_of_all(spark, folder), [1, 2]).select(F.col("productid").alias("doc_id"))
-    return st.table(spark, folder, "documents").select("doc_id", "text").join(keys, "doc_id", "left_semi")
+    return st.texts(spark, folder).select("doc_id", "text").join(keys, "doc_id", "left_semi")
 
 
 @query("vocabulary", f"WITH {_TRAIN_TEXT.replace('TOP_K', '1000')} SELECT token, n, id FROM vocab", ("classes",))
@@ -287,7 +287,7 @@ def _(spark, folder):
     FROM documents LEFT JOIN ids USING (doc_id)""", ("classes",))
 def _(spark, folder):
     vocab = ag.vocabulary(_training_text(spark, folder), "text", 5000)
-    coded = ag.encode_tokens(st.table(spark, folder, "documents"), vocab, "doc_id", "text", 128)
+    coded = ag.encode_tokens(st.texts(spark, folder), vocab, "doc_id", "text", 128)
     return coded.select("doc_id", F.concat_ws(",", F.transform("ids", lambda x: x.cast("string"))).alias("ids"))
 
 
@@ -352,7 +352,7 @@ def _(spark, folder):
 
 @query("text_embeddings")
 def _(spark, folder):
-    rows = st.table(spark, folder, "documents").select("doc_id", "text")
+    rows = st.texts(spark, folder).select("doc_id", "text")
     encoder = ft.fit_text_encoder(_training_text(spark, folder), "text")
     return ft.text_embeddings(rows, "text", encoder).select("doc_id", F.size("text_vector").alias("width"), "text_vector")
 

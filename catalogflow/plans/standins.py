@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions import vectors as V
 from catalogflow.functions.hashing import is_gold
+from catalogflow.sources.readers import widened
 
 N_CLASSES = 10  # classes of the embeddings table
 
@@ -15,9 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
+    """A text table, spread over the cores where it is one small file."""
+    return widened(table(spark, folder, name))
+
+
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
     text = F.col("text")
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         F.col("doc_id").alias("productid"),
         (F.col("doc_id") * 7 + 1).alias("imageid"),
         F.substring(text, 1, 60).alias("designation"),

@@ -18,6 +18,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every column costs more than building wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # A side of a join is broadcast only below both bounds, measured before planning.
