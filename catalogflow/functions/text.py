@@ -71,7 +71,8 @@ def clean_description_native(markup: Column) -> Column:
     text = F.replace(text, F.lit("\u0002"), F.lit("&"))
     pieces = F.split(text, "\u0001")
     pieces = F.transform(pieces, lambda x: F.regexp_replace(x, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
-    return _drop_noise(F.concat_ws("\n", F.filter(pieces, lambda x: x != "")))
+    joined = _drop_noise(F.concat_ws("\n", F.filter(pieces, lambda x: x != "")))
+    return F.when(markup.isNotNull(), joined)
 
 
 def text_or_recompute(text: Column, designation: Column, description: Column, clean=clean_description) -> Column:

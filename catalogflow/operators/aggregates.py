@@ -115,15 +115,15 @@ def encode_tokens(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len:
     The vocabulary holds at most its top-k rows. A text gives at most ``max_len`` rows and
     those are gathered per key, which a partial aggregation starts before the shuffle.
     """
-    rows = df.select(key, F.posexplode_outer(F.slice(tokenize(F.col(text)), 1, max_len)).alias("pos", "token"))
-    ids = rows.join(small_side(vocab.select("token", "id")), "token", "left").select(
-        key, "pos", F.when(F.col("token").isNotNull(), F.coalesce("id", F.lit(1))).alias("id")
+    tokens = F.slice(tokenize(F.col(text)), 1, max_len)
+    rows = df.select(key, F.posexplode_outer(tokens).alias("_pos", "_token"))
+    known = small_side(vocab.select(F.col("token").alias("_token"), F.col("id").alias("_code")))
+    pair = F.struct("_pos", F.coalesce("_code", F.lit(1)).cast("int").alias("_code"))
+    gathered = rows.join(known, "_token", "left").groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(F.col("_token").isNotNull(), pair))).alias("_pairs")
     )
-    gathered = ids.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", "id")))).alias("pairs")
-    )
-    codes = F.transform("pairs", lambda t: t["id"].cast("int"))
-    padding = F.array_repeat(F.lit(0), F.lit(max_len) - F.size("pairs"))
+    codes = F.transform("_pairs", lambda t: t["_code"])
+    padding = F.array_repeat(F.lit(0), F.lit(max_len) - F.size("_pairs"))
     return gathered.select(key, F.concat(codes, padding).alias("ids"))
 
 
