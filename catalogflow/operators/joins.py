@@ -43,16 +43,18 @@ def join_extra_caches(base: DataFrame, caches: Mapping[str, DataFrame], key: str
 
 
 def cache_coverage(base: DataFrame, caches: Mapping[str, DataFrame], key: str = "productid") -> DataFrame:
-    """Rows of the base each cache would drop if joined next."""
-    kept, reports = base.select(key), []
-    for name, cache in caches.items():
-        keys = cache.select(key)
-        reports.append(
-            kept.join(keys, key, "left_anti").agg(F.count("*").alias("n_dropped"))
-            .select(F.lit(name).alias("cache"), "n_dropped")
-        )
-        kept = kept.join(keys, key, "left_semi")
-    return reduce(DataFrame.unionByName, reports)
+    """Rows of the base each cache drops when the caches are joined in turn.
+
+    One chain of joins on the key, all with the same partitioning, and one aggregation.
+    """
+    marked, present = base.select(key), F.lit(True)
+    counts = []
+    for i, (name, cache) in enumerate(caches.items()):
+        here = F.col(f"_in{i}").isNotNull()
+        marked = marked.join(cache.select(key).distinct().withColumn(f"_in{i}", F.lit(True)), key, "left")
+        counts.append(F.struct(F.lit(name).alias("cache"), F.count_if(present & ~here).alias("n_dropped")))
+        present = present & here
+    return marked.agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -17,8 +17,9 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from catalogflow.functions import vectors as V
 from catalogflow.operators.aggregates import trial_summary
@@ -28,6 +29,14 @@ from catalogflow.session import materialize
 
 GRID_POINTS = 24
 MODALITIES = ("text", "image")
+PARALLEL_FITS = 4
+
+
+def in_parallel(spark: SparkSession, tasks: Sequence[Callable[[], object]], parallelism: int = PARALLEL_FITS) -> list:
+    """Independent fits as concurrent Spark jobs, results in the order of the tasks."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        return pool.map(lambda task: task(), [inherit(t) for t in tasks])
 
 
 def base_classifier(train: DataFrame, vector: str, label: str, c: float, max_iter: int = 100,
@@ -60,17 +69,24 @@ def oof_probabilities(df: DataFrame, key: str, label: str, n_classes: int, c: Ma
                       k: int = 5, seed: int = 42, max_iter: int = 100) -> DataFrame:
     """Out-of-fold ``p_text`` and ``p_image``: each row is scored by models that never saw it.
 
-    ``df`` has ``text_vector`` and ``image_vector``. The folds are written once, and so is
-    the result, since calibration, features, search and refit all read it.
+    ``df`` has ``text_vector`` and ``image_vector``. The folds are written once, a folder each,
+    so a held-out scan reads one of them; so is the result, since calibration, features, search and refit all read it.
     """
-    folded = materialize(stratified_kfold(df, label, key, k, seed), "folds")
+    folded = materialize(stratified_kfold(df, label, key, k, seed), "folds", ["fold"])
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    total = sum(sizes.values())
+
+    def fit(fold: int, m: str) -> PipelineModel:
+        train = folded.where(F.col("fold") != fold)
+        return base_classifier(train, f"{m}_vector", label, c[m], max_iter, total - sizes.get(fold, 0))
+
+    jobs = [(fold, m) for fold in range(k) for m in MODALITIES]
+    models = dict(zip(jobs, in_parallel(df.sparkSession, [lambda j=j: fit(*j) for j in jobs])))
     parts = []
     for fold in range(k):
-        train, held_out = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-        n = train.count()
+        held_out = folded.where(F.col("fold") == fold)
         for m in MODALITIES:
-            model = base_classifier(train, f"{m}_vector", label, c[m], max_iter, n)
-            held_out = class_probabilities(model, held_out, f"{m}_vector", n_classes, f"p_{m}")
+            held_out = class_probabilities(models[fold, m], held_out, f"{m}_vector", n_classes, f"p_{m}")
         parts.append(held_out)
     result = parts[0]
     for part in parts[1:]:
@@ -152,11 +168,13 @@ def boosted_meta_classifier(train: DataFrame, label: str, n_classes: int, params
     params = dict(params or {})
     seed = int(params.pop("seed", 42))
     rows = train.select(array_to_vector(vector).alias("_x"), F.col(label).alias("_label"))
-    models = []
-    for c in range(n_classes):
+
+    def fit(c: int) -> GBTClassificationModel:
         trees = GBTClassifier(featuresCol="_x", labelCol="_y", seed=seed, predictionCol=f"_pred{c}", **params)
         trees.setProbabilityCol(f"_p{c}").setRawPredictionCol(f"_raw{c}")
-        models.append(trees.fit(rows.withColumn("_y", (F.col("_label") == c).cast("double"))))
+        return trees.fit(rows.withColumn("_y", (F.col("_label") == c).cast("double")))
+
+    models = in_parallel(train.sparkSession, [lambda c=c: fit(c) for c in range(n_classes)])
     return PipelineModel(models)
 
 
@@ -190,7 +208,7 @@ def sample_space(space: Mapping[str, tuple], n_trials: int, seed: int) -> list[d
 
 
 def param_search(rows: DataFrame, label: str, space: Mapping[str, tuple], n_classes: int, n_trials: int = 4,
-                 k: int = 5, penalty: float = 0.25, seed: int = 42, parallelism: int = 2,
+                 k: int = 5, penalty: float = 0.25, seed: int = 42, parallelism: int = PARALLEL_FITS,
                  fold: str = "fold") -> tuple[dict, DataFrame]:
     """k-fold weighted F1 of each setting; returns the best setting and the trial table.
 
@@ -198,15 +216,14 @@ def param_search(rows: DataFrame, label: str, space: Mapping[str, tuple], n_clas
     """
     settings = sample_space(space, n_trials, seed)
 
-    def score(job: tuple[int, int]) -> tuple[int, int, float, int]:
-        trial, held = job
+    def score(trial: int, held: int) -> tuple[int, int, float, int]:
         model = meta_classifier(rows.where(F.col(fold) != held), label, settings[trial])
         scored = meta_predict(model, rows.where(F.col(fold) == held), n_classes)
         f1 = f1_scores(scored.select(F.col(label).alias("y"), "pred")).first()["f1_weighted"]
         return trial, held, float(f1), int(settings[trial].get("numTrees", 20))
 
-    with ThreadPool(parallelism) as pool:
-        scores = pool.map(score, [(t, f) for t in range(n_trials) for f in range(k)])
+    jobs = [(t, f) for t in range(n_trials) for f in range(k)]
+    scores = in_parallel(rows.sparkSession, [lambda j=j: score(*j) for j in jobs], parallelism)
     table = rows.sparkSession.createDataFrame(scores, "trial int, fold int, score double, best_iter int")
     summary = trial_summary(table, penalty)
     best = summary.orderBy(F.desc("objective"), "trial").first()["trial"]
@@ -248,13 +265,19 @@ def stacking_fit(df: DataFrame, key: str, label: str, n_classes: int, c: Mapping
     c = c or {"text": 0.01, "image": 0.1}
     oof = oof_probabilities(df, key, label, n_classes, c, k, seed, max_iter)
     t = {m: fit_temperature(oof, label, f"p_{m}", n_classes) for m in MODALITIES}
-    rows = materialize(meta_rows(oof, t["text"], t["image"]).select(key, label, "fold", "meta"), "meta")
+    rows = materialize(meta_rows(oof, t["text"], t["image"]).select(key, label, "fold", "meta"), "meta", ["fold"])
     trials = None
     if params is None:
         params, trials = param_search(rows, label, space, n_classes, n_trials, k, seed=seed)
     n = rows.count()
-    text, image = (base_classifier(df, f"{m}_vector", label, c[m], max_iter, n) for m in MODALITIES)
-    meta = boosted_meta_classifier(rows, label, n_classes, params) if boosted else meta_classifier(rows, label, params)
+
+    def final_meta() -> PipelineModel:
+        if boosted:
+            return boosted_meta_classifier(rows, label, n_classes, params)
+        return meta_classifier(rows, label, params)
+
+    base = [lambda m=m: base_classifier(df, f"{m}_vector", label, c[m], max_iter, n) for m in MODALITIES]
+    text, image, meta = in_parallel(df.sparkSession, [*base, final_meta])
     return StackedModel(text, image, t["text"], t["image"], meta, n_classes, params, trials), oof
 
 
@@ -319,6 +342,4 @@ def meta_feature_names(n_classes: int, tabular: Sequence[str], derived: Sequence
 
 
 def _spark():
-    from pyspark.sql import SparkSession
-
     return SparkSession.active()

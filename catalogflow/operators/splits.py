@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from catalogflow.functions.hashing import split_hash
 from catalogflow.session import small_side
 
-PREFIX_CHARS = 4  # 65,536 hash prefixes per class
+# 4,096 hash prefixes per class: few enough for map-side counts to shrink the histogram's
+# shuffle, enough for the rows that share a cut's prefix to be a small part of a hot class.
+PREFIX_CHARS = 3
 
 
 def _ratio(fraction: float | Fraction) -> Fraction:
@@ -111,14 +113,16 @@ def segment(df: DataFrame, label: str, key: str, seed: int, histogram: DataFrame
         *[F.max(F.when(F.col("cut_no") == i, F.col("last"))).alias(f"_last{i}") for i in range(n_cuts)]
     )
     here = F.struct(split_hash(F.col(key), seed).alias("hash"), F.col(key).alias("id"))
-    behind = [F.coalesce(here > F.col(f"_last{i}"), F.lit(True)).cast("int") for i in range(n_cuts)]
+    behind = [F.coalesce(F.col("_here") > F.col(f"_last{i}"), F.lit(True)).cast("int") for i in range(n_cuts)]
     passed: Column = behind[0]
     for b in behind[1:]:
         passed = passed + b
+    keys = small_side(lasts)
+    histogram.unpersist()
     return (
-        df.join(small_side(lasts), F.col(label) == F.col("_class"), "left")
+        df.withColumn("_here", here).join(keys, F.col(label) == F.col("_class"), "left")
         .withColumn(name, F.when(F.col(label).isNotNull(), passed))
-        .drop("_class", *[f"_last{i}" for i in range(n_cuts)])
+        .drop("_class", "_here", *[f"_last{i}" for i in range(n_cuts)])
     )
 
 
@@ -143,7 +147,7 @@ def stratified_flag(df: DataFrame, label: str, key: str, fraction: float, seed:
 
 
 def small_histogram(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    """The histogram is read several times; it has at most classes x 65,536 rows."""
+    """The histogram is read several times; it has at most classes x prefixes rows."""
     return class_histogram(df, label, key, seed).persist()
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Adaptive execution sizes the reducers at run time, so a large initial partition
 # count costs little: small shuffles are coalesced, skewed joins are split.
@@ -23,7 +23,7 @@ ENGINE_CONF = {
 }
 
 # A side of a join is broadcast only below both bounds, measured before planning.
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_ROWS = 100_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
@@ -54,26 +54,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write once to shared storage and read back: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def _row_bytes(df: DataFrame):
-    """Upper estimate of one row's size: 16 bytes per fixed field, octets of the rest."""
-    total = F.lit(0)
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = F.octet_length(column)
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            size = F.octet_length(F.to_json(F.struct(column)))
-        else:
-            size = F.lit(0)
-        total = total + 16 + F.coalesce(size, F.lit(0))
-    return total
+def _bytes(value: object) -> int:
+    """Rough size of a collected value: 16 bytes per scalar, the content of text and lists."""
+    if isinstance(value, (str, bytes, bytearray)):
+        return 16 + 4 * len(value)
+    if isinstance(value, (list, tuple)):
+        return 16 + sum(_bytes(v) for v in value)
+    return 16
 
 
 def small_side(
@@ -81,13 +75,12 @@ def small_side(
 ) -> DataFrame:
     """Broadcast ``df`` only when its measured size is under the bounds.
 
-    At most ``max_rows + 1`` rows are looked at, and they are kept, so the plan that made
-    them runs once. A larger side comes back unhinted and is joined by a shuffle, where
-    adaptive execution splits hot keys.
+    At most ``max_rows + 1`` rows come to the driver, as they do in any broadcast, and they
+    are kept: the plan that made them runs once. The limit is taken partition by partition
+    and stops when it is full, so a large table costs a look at its first partitions. It
+    comes back unhinted and is joined by a shuffle, where adaptive execution splits hot keys.
     """
-    head = df.limit(max_rows + 1).persist()
-    n, size = head.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
-    if n <= max_rows and size <= max_bytes:
-        return F.broadcast(head)
-    head.unpersist()
-    return df
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows or sum(_bytes(r) for r in rows) > max_bytes:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
