@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow.functions.text import feature_group, tokenize
 from catalogflow.functions.vectors import has_nan
-from catalogflow.operators.joins import rare_full_outer
 from catalogflow.session import small_side
 
 
@@ -54,18 +53,21 @@ def split_summary(df: DataFrame, train_batches: Sequence[int], version: int) ->
 
 
 def class_drift(df: DataFrame, label: str, version: int, limit: float = 0.01) -> DataFrame:
-    """Per class |p_val - p_train| inside the superset, with the maximum and the verdict."""
+    """Per class |p_val - p_train| inside the superset, with the maximum and the verdict.
+
+    Both shares come from one count per class, so a class missing on one side has share 0.
+    """
     flag = F.col(f"is_val_selection_v{version}")
-    offered = df.where((F.col("batch_id") <= version) & ~F.col("is_gold"))
+    offered = df.where((F.col("batch_id") <= version) & ~F.col("is_gold") & flag.isNotNull())
     counts = offered.groupBy(label).agg(F.count_if(flag).alias("n_val"), F.count_if(~flag).alias("n_train"))
     everything = Window.partitionBy()
 
-    def share(part: str) -> DataFrame:
-        rows = counts.where(F.col(f"n_{part}") > 0)
-        return rows.select(label, (F.col(f"n_{part}") / F.sum(f"n_{part}").over(everything)).alias(f"p_{part}"))
+    def share(part: str) -> Column:
+        total = F.sum(f"n_{part}").over(everything)
+        return F.when(total > 0, F.col(f"n_{part}") / total).otherwise(0.0).alias(f"p_{part}")
 
-    joined = rare_full_outer(share("val"), share("train"), label)
-    drift = joined.withColumn("drift_abs", F.abs(F.col("p_val") - F.col("p_train")))
+    drift = counts.select(label, share("val"), share("train")).withColumn(
+        "drift_abs", F.abs(F.col("p_val") - F.col("p_train")))
     return drift.withColumn("max_drift", F.max("drift_abs").over(everything)).withColumn(
         "passed", F.col("max_drift") < limit
     )

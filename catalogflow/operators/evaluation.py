@@ -195,13 +195,41 @@ def one_vs_rest_histogram(df: DataFrame, classes: DataFrame | Sequence[int], n_b
     return hist.join(scores, "class", "left").na.fill(0.0, ["f1"])
 
 
-def stacking_analysis(df: DataFrame) -> DataFrame:
-    """What fusion adds over the two modalities; ``df`` has y, p_text, p_image, pred_meta.
+def _by_class_and(cells: DataFrame, other: Column, measures: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """Sums per class and, of the ``measures``, per ``other`` number, from the same cells.
 
-    The counts and the oracle's confusion come from one grouping on the few distinct
-    outcomes, so the rows are read once.
+    Each cell (y, pred, n) counts for its true class, its predicted class (kind "class")
+    and its other number (kind "other"). One grouping serves both, so the rows below are
+    read once whatever is asked of the result.
     """
+    zero = F.lit(0).cast("long")
+    nothing = [F.lit(0).cast("double").alias(m) for m in measures]
+    hit = F.when(F.col("y") == F.col("pred"), F.col("n")).otherwise(zero)
+
+    def record(kind: str, number: Column, support: Column, predicted: Column, tp: Column, extra: Sequence[Column]) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), number.cast("int").alias("id"), support.alias("support"),
+                        predicted.alias("predicted"), tp.alias("tp"), *extra)
+
+    records = cells.select(*by, F.explode(F.array(
+        record("class", F.col("y"), F.col("n"), zero, hit, nothing),
+        record("class", F.col("pred"), zero, F.col("n"), zero, nothing),
+        record("other", other, zero, zero, zero, [c.cast("double").alias(m) for m, c in measures.items()]),
+    )).alias("r")).select(*by, "r.*")
+    return _with_scores(records.groupBy(*by, "kind", "id").agg(
+        *[F.sum(c).alias(c) for c in ("support", "predicted", "tp", *measures)]))
+
+
+def _f1_columns() -> tuple[Column, Column, Column, Column]:
+    """n, accuracy, weighted F1 and macro F1 over the class records."""
+    n = F.sum("support")
+    macro = F.avg(F.when(F.col("kind") == "class", F.col("f1")))
+    return n, F.sum("tp") / n, F.sum(F.col("f1") * F.col("support")) / n, macro
+
+
+def stacking_analysis(df: DataFrame) -> DataFrame:
+    """What fusion adds over the two modalities; ``df`` has y, p_text, p_image, pred_meta."""
     text, image = V.argmax(F.col("p_text")), V.argmax(F.col("p_image"))
+    picked = F.when((F.col("t") != F.col("y")) & (F.col("i") == F.col("y")), F.col("i")).otherwise(F.col("t"))
     outcomes = (
         df.select("y", "pred_meta", text.alias("t"), image.alias("i"))
         .select(
@@ -210,32 +238,27 @@ def stacking_analysis(df: DataFrame) -> DataFrame:
             (F.col("i") == F.col("y")).alias("i_ok"),
             (F.col("pred_meta") == F.col("y")).alias("m_ok"),
             (F.col("t") == F.col("i")).alias("agree"),
-            F.when((F.col("t") != F.col("y")) & (F.col("i") == F.col("y")), F.col("i")).otherwise(F.col("t")).alias("pred"),
+            picked.alias("pred"),
         )
         .groupBy("y", "t_ok", "i_ok", "m_ok", "agree", "pred")
         .agg(F.count("*").alias("n"))
     )
-
-    def count(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("n")).otherwise(0))
-
     t, i, m = F.col("t_ok"), F.col("i_ok"), F.col("m_ok")
-    counts = outcomes.agg(
-        (count(F.col("agree")) / F.sum("n")).alias("agreement_text_image"),
-        count(t & ~i).alias("text_only_correct"),
-        count(~t & i).alias("image_only_correct"),
-        count(t & i).alias("both_correct"),
-        count(~t & ~i).alias("both_wrong"),
-        count(m & ~t & ~i).alias("meta_saves_when_both_wrong"),
-        count(~m & (t | i)).alias("meta_loses_when_one_correct"),
+    conditions = {
+        "text_only_correct": t & ~i,
+        "image_only_correct": ~t & i,
+        "both_correct": t & i,
+        "both_wrong": ~t & ~i,
+        "meta_saves_when_both_wrong": m & ~t & ~i,
+        "meta_loses_when_one_correct": ~m & (t | i),
+    }
+    measures = {name: F.when(c, F.col("n")).otherwise(0) for name, c in {"agreeing": F.col("agree"), **conditions}.items()}
+    n, _accuracy, weighted, macro = _f1_columns()
+    return _by_class_and(outcomes, F.lit(0), measures).agg(
+        (F.sum("agreeing") / n).alias("agreement_text_image"),
+        *[F.sum(c).cast("long").alias(c) for c in conditions],
+        macro.alias("oracle_f1_macro"), weighted.alias("oracle_f1_weighted"),
     )
-    classes = _with_scores(class_marginals(outcomes.groupBy("y", "pred").agg(F.sum("n").alias("n"))))
-    oracle = classes.agg(
-        F.avg("f1").alias("oracle_f1_macro"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("oracle_f1_weighted"),
-    )
-    one = F.lit(1).alias("_one")
-    return counts.select(one, "*").join(oracle.select(one, "*"), "_one").drop("_one")
 
 
 def drift_metrics(df: DataFrame) -> DataFrame:
@@ -297,24 +320,14 @@ def evaluation_summary(df: DataFrame, n_bins: int = 10, by: Sequence[str] = ())
         F.count_if("correct").alias("n_correct"),
         F.sum("nll").alias("s_nll"), F.sum("brier").alias("s_brier"),
     )
-    keys = list(by) or ["_all"]
-    cells = cells if by else cells.withColumn("_all", F.lit(0))
-    bins = cells.groupBy(*keys, "bin").agg(
-        F.sum("n").alias("n"), F.sum("s_conf").alias("s_conf"), F.sum("n_correct").alias("n_correct"),
-        F.sum("s_nll").alias("s_nll"), F.sum("s_brier").alias("s_brier"),
-    )
-    n = F.sum("n")
-    gap = F.when(F.col("bin") >= 0, F.abs(F.col("n_correct") - F.col("s_conf"))).otherwise(0.0)
-    losses = bins.groupBy(*keys).agg(
-        (F.sum("s_nll") / n).alias("log_loss"), (F.sum("s_brier") / n).alias("brier"), (F.sum(gap) / n).alias("ece")
-    )
-    classes = _with_scores(class_marginals(cells.groupBy(*keys, "y", "pred").agg(F.sum("n").alias("n")), keys))
-    total = F.sum("support")
-    scores = classes.groupBy(*keys).agg(
-        total.alias("n"), (F.sum("tp") / total).alias("accuracy"),
-        (F.sum(F.col("f1") * F.col("support")) / total).alias("f1_weighted"), F.avg("f1").alias("f1_macro"),
+    sums = ("s_conf", "n_correct", "s_nll", "s_brier")
+    both = _by_class_and(cells, F.col("bin"), {c: F.col(c) for c in sums}, by)
+    n, accuracy, weighted, macro = _f1_columns()
+    gap = F.when((F.col("kind") == "other") & (F.col("id") >= 0), F.abs(F.col("n_correct") - F.col("s_conf"))).otherwise(0.0)
+    return both.groupBy(*by).agg(
+        n.alias("n"), accuracy.alias("accuracy"), weighted.alias("f1_weighted"), macro.alias("f1_macro"),
+        (F.sum("s_nll") / n).alias("log_loss"), (F.sum("s_brier") / n).alias("brier"), (F.sum(gap) / n).alias("ece"),
     )
-    return scores.join(losses, keys).drop("_all")
 
 
 def top_confusions(df: DataFrame, k: int = 10) -> DataFrame:

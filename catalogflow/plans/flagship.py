@@ -16,7 +16,7 @@ from catalogflow.plans.registry import query, r6, s6
 
 def ingestion_overview(spark: SparkSession, folder: str) -> DataFrame:
     """Per class and split: products, mean cleaned length and share of the class."""
-    products = st.catalog(spark, folder)
+    products = st.wide_catalog(spark, folder)
     labels = st.catalog_labels(spark, folder)
     text = clean_description(full_text_strip(F.col("designation"), F.col("description")))
     prepared = products.select(

@@ -108,6 +108,11 @@ def _(spark, folder):
     return packed.select("p_partkey", r6(V.vsum(F.col("v")), "total"), *V.unpack_columns(F.col("v"), ["first", "second"])[1:]).withColumn("second", r6("second"))
 
 
+@query("unpack_columns", "SELECT productid, text_vector[1] AS first, text_vector[2] AS second FROM vectors", ("vectors",))
+def _(spark, folder):
+    return st.vectors(spark, folder).select("productid", *V.unpack_columns(F.col("text_vector"), ["first", "second"]))
+
+
 # Evaluation
 
 CLASSES = """cls AS (SELECT class, sum(support) AS support, sum(predicted) AS predicted, sum(tp) AS tp FROM (

@@ -502,7 +502,7 @@ def _(spark, folder):
 
 # Monitoring
 
-@query("windowed_rate_1m", f"""SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, {s6('sum(value) / 60', 'rate')}, count(*) AS n FROM events GROUP BY 1""")
+@query("windowed_rate", f"""SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, {s6('sum(value) / 60', 'rate')}, count(*) AS n FROM events GROUP BY 1""")
 def _(spark, folder):
     rate = mo.windowed_rate(st.table(spark, folder, "events"), "ts", "value")
     return rate.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), r6("rate"), "n")

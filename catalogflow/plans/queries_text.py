@@ -180,6 +180,53 @@ def _(spark, folder):
                        r6(vsum(doubles(F.col("text"))), "text_sum"), r6(vsum(doubles(F.col("image"))), "image_sum"))
 
 
+def _written(spark, name):
+    from catalogflow.session import fresh_path
+
+    return fresh_path(spark, name)
+
+
+@query("replace_table", "SELECT productid, designation, batch_id FROM catalog WHERE batch_id = 2", ("catalog",))
+def _(spark, folder):
+    path = _written(spark, "products")
+    wr.replace_table(st.catalog(spark, folder), path)
+    return rd.scan_products(spark.read.parquet(path), [2], ["productid", "designation", "batch_id"])
+
+
+@query("append_table", "SELECT productid, batch_id FROM catalog", ("catalog",))
+def _(spark, folder):
+    path, keys = _written(spark, "products"), st.catalog(spark, folder).select("productid", "batch_id")
+    for batch in (1, 2, 3):
+        wr.append_table(rd.scan_products(keys, [batch]), path)
+    return spark.read.parquet(path)
+
+
+@query("write_snapshot", "SELECT productid, batch_id FROM catalog WHERE batch_id <> 2", ("catalog",))
+def _(spark, folder):
+    root, keys = _written(spark, "snapshots"), st.catalog(spark, folder).select("productid", "batch_id")
+    wr.write_snapshot(keys, root)
+    wr.write_snapshot(jn.delete_by_keys(wr.read_snapshot(spark, root), rd.scan_products(keys, [2])), root)
+    return wr.read_snapshot(spark, root)
+
+
+@query("export_batches", "SELECT productid, prdtypecode, batch_id FROM classes", ("classes",))
+def _(spark, folder):
+    path, rows = _written(spark, "batches"), st.classes_of_all(spark, folder)
+    wr.export_batches(rows.select("productid", "batch_id"), rows.select("productid", "prdtypecode", "batch_id"), path)
+    return spark.read.schema("productid long, prdtypecode int, batch_id int").option("header", True).csv(f"{path}/y")
+
+
+@query("read_indexed_csv", """SELECT productid * 3 AS row_id, designation, nullif(description, '') AS description, productid, imageid FROM catalog""", ("catalog",))
+def _(spark, folder):
+    from catalogflow.schemas import RAW_PRODUCTS
+
+    path = _written(spark, "raw")
+    raw = st.catalog(spark, folder).select((F.col("productid") * 3).alias("row_id"), "designation", "description", "productid", "imageid")
+    raw.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(path)
+    return rd.read_indexed_csv(spark, path, RAW_PRODUCTS)
+
+
 # Texts
 
 @query("full_text_strip", f"SELECT productid, {STRIP} AS full_text FROM catalog", ("catalog",))
@@ -200,7 +247,7 @@ def _(spark, folder):
 @query("full_text_spaced", f"""SELECT productid, regexp_replace(coalesce(designation, '') || ' ' ||
     {cleaned("coalesce(description, '')")}, '^\\s+|\\s+$', '', 'g') AS full_text FROM catalog""", ("catalog",))
 def _(spark, folder):
-    return st.catalog(spark, folder).select("productid", tx.full_text_spaced(D, E).alias("full_text"))
+    return st.wide_catalog(spark, folder).select("productid", tx.full_text_spaced(D, E).alias("full_text"))
 
 
 @query("clean_description", f"SELECT page_id, {cleaned('html')} AS text FROM pages")
@@ -218,12 +265,12 @@ def _(spark, folder):
 def _(spark, folder):
     key = F.col("productid")
     stored = F.when(key % 3 == 1, "").when(key % 3 == 2, F.concat(F.lit("stored "), key.cast("string")))
-    return st.catalog(spark, folder).select("productid", tx.text_or_recompute(stored, D, E).alias("text"))
+    return st.wide_catalog(spark, folder).select("productid", tx.text_or_recompute(stored, D, E).alias("text"))
 
 
 @query("text_tabular", f"WITH {TABULAR} SELECT * EXCLUDE (imageid) FROM tab", ("catalog",))
 def _(spark, folder):
-    return rounded_tabular(st.catalog(spark, folder).select("productid", *tx.text_tabular(D, E)), "productid")
+    return rounded_tabular(st.wide_catalog(spark, folder).select("productid", *tx.text_tabular(D, E)), "productid")
 
 
 @query("image_path", """SELECT productid, 'images/image_' || CAST(imageid AS VARCHAR) || '_product_' || CAST(productid AS VARCHAR)
@@ -359,7 +406,7 @@ def _(spark, folder):
 
 @query("build_features_incremental", f"WITH {TABULAR} SELECT * FROM tab WHERE productid % 4 = 0", ("catalog",))
 def _(spark, folder):
-    products = st.catalog(spark, folder)
+    products = st.wide_catalog(spark, folder)
     cached = products.where(F.col("productid") % 4 != 0).select("productid")
     return rounded_tabular(ft.build_features_incremental(products, cached, ft.text_feature_rows), "productid", "imageid")
 
@@ -369,7 +416,7 @@ def _(spark, folder):
     FROM tab JOIN (SELECT productid, coalesce(designation, '') AS designation, {STRIP} AS full_text FROM catalog) USING (productid)""",
        ("catalog",))
 def _(spark, folder):
-    rows = ft.prepare_scoring_rows(st.catalog(spark, folder))
+    rows = ft.prepare_scoring_rows(st.wide_catalog(spark, folder))
     return rounded_tabular(rows, "productid", "imageid", "designation", "text", "image_path")
 
 
@@ -378,6 +425,6 @@ def _(spark, folder):
        ("catalog", "catalog_labels"))
 def _(spark, folder):
     labels = st.catalog_labels(spark, folder)
-    products = st.catalog(spark, folder).join(labels.select("productid"), "productid", "left_semi")
+    products = st.wide_catalog(spark, folder).join(labels.select("productid"), "productid", "left_semi")
     ready, _summary = jobs.ingest_batch(products, labels, 1, valid=range(0, 1000, 10))
     return ready.where(F.col("batch_id") == 1).select("productid", "is_gold", "text")

@@ -22,8 +22,17 @@ def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFram
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
+    return _as_catalog(table(spark, folder, "documents"))
+
+
+def wide_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """The catalog for work on its texts."""
+    return _as_catalog(texts(spark, folder))
+
+
+def _as_catalog(documents: DataFrame) -> DataFrame:
     text = F.col("text")
-    return texts(spark, folder).select(
+    return documents.select(
         F.col("doc_id").alias("productid"),
         (F.col("doc_id") * 7 + 1).alias("imageid"),
         F.substring(text, 1, 60).alias("designation"),
