@@ -85,7 +85,7 @@ def _(spark, folder):
 
 @query("meta_vector", f"""WITH d AS (SELECT productid, {S_DERIVED} FROM pair), m AS (SELECT productid, list_concat(list_concat(p_text, p_image), list_concat(tabular,
     [{', '.join(DERIVED)}])) AS meta FROM pair JOIN vectors USING (productid) JOIN d USING (productid))
-    SELECT productid, len(meta) AS width, {s_spread('meta', 40, 'm')} FROM m""", ("pair", "vectors"))
+    SELECT productid, CAST(len(meta) AS INTEGER) AS width, {s_spread('meta', 40, 'm')} FROM m""", ("pair", "vectors"))
 def _(spark, folder):
     rows = _both(spark, folder).join(st.vectors(spark, folder).select("productid", "tabular"), "productid")
     meta = V.meta_vector(_p(), _p("p_image"), F.col("tabular"), F.array(*V.derived_features(_p(), _p("p_image"))))

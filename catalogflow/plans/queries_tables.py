@@ -195,7 +195,7 @@ def _(spark, folder):
     return drift.withColumns({c: r6(c) for c in ("p_val", "p_train", "drift_abs", "max_drift")})
 
 
-@query("length_distribution", f"""WITH l AS (SELECT length(text) AS len FROM documents)
+@query("length_distribution", f"""WITH l AS (SELECT CAST(length(text) AS INTEGER) AS len FROM documents)
     SELECT count(*) AS n, min(len) AS min, {", ".join(s6(f"quantile_cont(len, {q})", n) for n, q in
     (("q25", 0.25), ("median", 0.5), ("q75", 0.75), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99)))}, max(len) AS max, {s6('avg(len)', 'mean')},
     round(stddev_pop(len), 3) AS std, {", ".join(s6(f"avg(CASE WHEN len > {c} THEN 1.0 ELSE 0.0 END)", f"share_above_{c}") for c in (96, 128, 160))} FROM l""")

@@ -53,9 +53,9 @@ def tokens(text: str) -> str:
 
 
 TABULAR = f"""texts AS (SELECT productid, imageid, designation, description, {TRUTHY} AS t FROM catalog),
-tab AS (SELECT productid, imageid, length(t) AS tab_text_length,
-    len(list_filter(regexp_split_to_array(t, '\\s+'), lambda w: w <> '')) AS tab_word_count,
-    length(coalesce(designation, '')) AS tab_designation_length,
+tab AS (SELECT productid, imageid, CAST(length(t) AS INTEGER) AS tab_text_length,
+    CAST(len(list_filter(regexp_split_to_array(t, '\\s+'), lambda w: w <> '')) AS INTEGER) AS tab_word_count,
+    CAST(length(coalesce(designation, '')) AS INTEGER) AS tab_designation_length,
     CAST(regexp_matches(coalesce(description, ''), '\\S') AS INTEGER) AS tab_description_present,
     {s6("CASE WHEN length(t) > 0 THEN (length(t) - length(regexp_replace(t, '\\p{Lu}', '', 'g'))) / length(t) ELSE 0 END", "tab_uppercase_ratio")},
     {s6("CASE WHEN length(t) > 0 THEN (length(t) - length(regexp_replace(t, '\\p{Nd}', '', 'g'))) / length(t) ELSE 0 END", "tab_digit_ratio")},
@@ -170,7 +170,7 @@ def _(spark, folder):
     return rg.long_metrics(rows, "run_id", ["f1", "started_year"])
 
 
-@query("export_training_rows", f"""SELECT CAST(label AS BIGINT) AS label, len(text_vector) AS text_width, len(image_vector) AS image_width,
+@query("export_training_rows", f"""SELECT CAST(label AS BIGINT) AS label, CAST(len(text_vector) AS INTEGER) AS text_width, CAST(len(image_vector) AS INTEGER) AS image_width,
     {s6("list_sum(text_vector)", "text_sum")}, {s6("list_sum(image_vector)", "image_sum")} FROM vectors""", ("vectors",))
 def _(spark, folder):
     from catalogflow.functions.vectors import doubles, vsum
@@ -302,7 +302,7 @@ def _(spark, folder):
     return st.versions(spark, folder).select("name", "version", tx.model_tag(n, v).alias("tag"), tx.model_tag(n, v, "_").alias("plain"))
 
 
-@query("tokenize", f"""SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens
+@query("tokenize", f"""SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
     FROM (SELECT doc_id, {tokens('text')} AS t FROM documents)""")
 def _(spark, folder):
     rows = st.texts(spark, folder).select("doc_id", tx.tokenize(F.col("text")).alias("t"))
@@ -321,7 +321,7 @@ def _training_text(spark, folder):
     return st.texts(spark, folder).select("doc_id", "text").join(keys, "doc_id", "left_semi")
 
 
-@query("vocabulary", f"WITH {_TRAIN_TEXT.replace('TOP_K', '1000')} SELECT token, n, id FROM vocab", ("classes",))
+@query("vocabulary", f"WITH {_TRAIN_TEXT.replace('TOP_K', '1000')} SELECT token, n, CAST(id AS INTEGER) AS id FROM vocab", ("classes",))
 def _(spark, folder):
     return ag.vocabulary(_training_text(spark, folder), "text", 1000)
 

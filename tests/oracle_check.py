@@ -37,6 +37,17 @@ def as_rows(columns, rows):
     )
 
 
+# SQL type of each Spark type that a compared column may have.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+def type_problems(df, con, sql):
+    expected = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    actual = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    return {c: (actual.get(c), t) for c, t in expected.items() if actual.get(c) != t}
+
+
 def connect(folder):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -52,6 +63,9 @@ def compare(spark, con, folder, fn, sql):
     columns, actual = as_rows(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return "" if actual else "no rows"
+    problems = type_problems(df, con, sql)
+    if problems:
+        return f"types {problems}"
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     expected_columns, expected = as_rows(names, result.fetchall())
