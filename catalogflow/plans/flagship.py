@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalogflow.functions.hashing import is_gold
@@ -26,10 +26,11 @@ def ingestion_overview(spark: SparkSession, folder: str) -> DataFrame:
     split = F.when(F.col("is_gold"), "gold").when(F.col("is_val_selection_v3"), "val").otherwise("train")
     counts = selected.groupBy("prdtypecode", split.alias("split")).agg(
         F.count("*").alias("n_products"), F.avg("text_length").alias("mean_length"))
-    totals = counts.groupBy("prdtypecode").agg(F.sum("n_products").alias("n_class"))
-    return counts.join(totals, "prdtypecode").select(
+    # At most three rows per class by now.
+    of_class = F.sum("n_products").over(Window.partitionBy("prdtypecode"))
+    return counts.select(
         "prdtypecode", "split", "n_products", r6("mean_length"),
-        r6(F.col("n_products") / F.col("n_class"), "share_of_class"))
+        r6(F.col("n_products") / of_class, "share_of_class"))
 
 
 query("ingestion_overview", f"""WITH prepared AS (
