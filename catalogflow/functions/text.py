@@ -123,22 +123,23 @@ def tokenize(text: Column) -> Column:
     return F.filter(F.split(lowered, r"[\s\p{Z}\x1c-\x1f\x85]+"), lambda t: t != "")
 
 
+# How feature names tell their family.
+TEXT_PREFIXES, TEXT_MARK = ("p_text_", "text_p_", "proba_text_"), "text_proba"
+IMAGE_PREFIXES, IMAGE_MARK = ("p_image_", "image_p_", "proba_image_"), "image_proba"
+DERIVED_PREFIX = "derived__"
+
+
 def feature_group(name: Column) -> Column:
-    """Family of a meta feature, from its name."""
+    """Family of a meta feature, from its name; case counts for the derived ones only."""
     lowered = F.lower(name)
 
-    def family(kind: str) -> Column:
-        return (
-            lowered.startswith(f"p_{kind}_")
-            | lowered.startswith(f"{kind}_p_")
-            | lowered.contains(f"{kind}_proba")
-            | lowered.startswith(f"proba_{kind}_")
-        )
+    def belongs(prefixes: tuple[str, ...], mark: str) -> Column:
+        return lowered.rlike("^(" + "|".join(prefixes) + ")") | lowered.contains(mark)
 
     return (
-        F.when(family("text"), "text")
-        .when(family("image"), "image")
-        .when(name.startswith("derived__"), "derived")
+        F.when(belongs(TEXT_PREFIXES, TEXT_MARK), "text")
+        .when(belongs(IMAGE_PREFIXES, IMAGE_MARK), "image")
+        .when(name.startswith(DERIVED_PREFIX), "derived")
         .otherwise("tabular")
     )
 

@@ -62,7 +62,10 @@ def promotion_decision(challengers: DataFrame, versions: DataFrame, aliases: Dat
 
 def promotion_gain_geq(challengers: DataFrame, versions: DataFrame, aliases: DataFrame, alias: str,
                        epsilon: float = 0.005) -> DataFrame:
-    """Same comparison with gain >= epsilon and the reason spelled out."""
+    """Same comparison with gain >= epsilon and the reason spelled out.
+
+    The reasons are fixed texts, read by whoever reviews the promotion log.
+    """
     joined = challengers.join(alias_holders(versions, aliases, alias), "name", "left")
     first = F.col("holder_metric").isNull()
     wide = joined.withColumn("gain", F.col("metric") - F.col("holder_metric"))
