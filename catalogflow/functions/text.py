@@ -12,7 +12,8 @@ PUNCTUATION = r"[.,;:!?\-]"
 TOKEN_SEPARATORS = r"""[\.,;:!?\(\)\[\]\{\}"'`~/\\\-_<>\|=\+\*&%\$#@]"""
 
 _HIDDEN_BLOCKS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[!/?]?[a-z][^>]*>"
-_NAMED_SIGNS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0")]
+# References of ASCII signs; all but the apostrophe may lack the semicolon.
+_NAMED_SIGNS = [("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&apos;", "'"), ("&nbsp;?", "\u00a0")]
 
 
 def _text(c: Column) -> Column:
@@ -64,9 +65,9 @@ def clean_description_native(markup: Column) -> Column:
     """
     text = F.regexp_replace(markup, _HIDDEN_BLOCKS, "\u0001")
     for name, sign in _NAMED_SIGNS:
-        text = F.replace(text, F.lit(name), F.lit(sign))
+        text = F.regexp_replace(text, name, sign)
     # Ampersands are set aside, so that what they precede is not decoded a second time.
-    text = F.replace(text, F.lit("&amp;"), F.lit("\u0002"))
+    text = F.regexp_replace(text, "&amp;?", "\u0002")
     text = F.regexp_replace(text, "&[a-zA-Z][a-zA-Z0-9]*;", "\ufffd")
     text = F.replace(text, F.lit("\u0002"), F.lit("&"))
     pieces = F.split(text, "\u0001")

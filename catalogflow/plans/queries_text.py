@@ -37,8 +37,8 @@ def cleaned(text: str) -> str:
         f"regexp_replace({text}, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-->|<[!/?]?[a-z][^>]*>',"
         " chr(1), 'g')"
     )
-    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&nbsp;", "\u00a0"), ("&amp;", None)):
-        cut = f"replace({cut}, '{name}', {'chr(2)' if sign is None else chr(39) + sign + chr(39)})"
+    for name, sign in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&apos;", "''"), ("&nbsp;?", "\u00a0"), ("&amp;?", None)):
+        cut = f"regexp_replace({cut}, '{name}', {'chr(2)' if sign is None else chr(39) + sign + chr(39)}, 'g')"
     cut = f"replace(regexp_replace({cut}, '&[a-zA-Z][a-zA-Z0-9]*;', chr(65533), 'g'), chr(2), '&')"
     pieces = f"list_transform(string_split({cut}, chr(1)), lambda x: regexp_replace(x, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g'))"
     return noise(f"array_to_string(list_filter({pieces}, lambda x: x <> ''), chr(10))")
