@@ -33,3 +33,17 @@ def _(spark, folder):
     from catalogflow.llm.exact_dedup import exact_groups
 
     return exact_groups(table(spark, folder, "documents"))
+
+
+@query("op1_pii")
+def _(spark, folder):
+    from catalogflow.llm.pii import find_pii
+
+    return find_pii(table(spark, folder, "documents"))
+
+
+@query("op4_secret_scan")
+def _(spark, folder):
+    from catalogflow.llm.secret_scan import find_secrets
+
+    return find_secrets(table(spark, folder, "documents"))
