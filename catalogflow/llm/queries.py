@@ -25,6 +25,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer's vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op8_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
     doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -47,3 +54,38 @@ def _(spark, folder):
     from catalogflow.llm.secret_scan import find_secrets
 
     return find_secrets(table(spark, folder, "documents"))
+
+
+@query("op2_token_store")
+def _(spark, folder):
+    from catalogflow.llm.token_store import store_and_digest
+
+    return store_and_digest(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query("op7_line_dedup", """
+WITH lines AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+starts AS (
+    SELECT doc_id, l, unnest(range(0, len(l) - 2)) AS pos FROM lines WHERE len(l) >= 3),
+windows AS (
+    SELECT doc_id, pos, l[pos + 1] || chr(10) || l[pos + 2] || chr(10) || l[pos + 3] AS w FROM starts
+    WHERE trim(l[pos + 1], ' ') <> '' OR trim(l[pos + 2], ' ') <> '' OR trim(l[pos + 3], ' ') <> ''),
+firsts AS (
+    SELECT w, min((doc_id, pos)) AS f FROM windows GROUP BY w HAVING count(*) > 1),
+gone AS (
+    SELECT DISTINCT doc_id, pos + k AS line FROM windows JOIN firsts USING (w), (SELECT unnest([0, 1, 2]) AS k)
+    WHERE doc_id <> f[1] OR pos >= f[2] + 3),
+numbered AS (
+    SELECT doc_id, unnest(l) AS line_text, unnest(range(0, len(l))) AS line FROM lines),
+rest AS (
+    SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, string_agg(line_text, chr(10) ORDER BY line) AS text FROM numbered ANTI JOIN gone USING (doc_id, line)
+    GROUP BY doc_id)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(kept.text, '') AS text
+FROM lines LEFT JOIN rest USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def _(spark, folder):
+    from catalogflow.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, folder, "documents"))
