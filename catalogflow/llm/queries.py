@@ -89,3 +89,10 @@ def _(spark, folder):
     from catalogflow.llm.line_dedup import dedup_lines
 
     return dedup_lines(table(spark, folder, "documents"))
+
+
+@query("op5_jaccard_join")
+def _(spark, folder):
+    from catalogflow.llm.jaccard_join import shingle_components
+
+    return shingle_components(table(spark, folder, "documents"))
