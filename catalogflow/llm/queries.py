@@ -96,3 +96,53 @@ def _(spark, folder):
     from catalogflow.llm.jaccard_join import shingle_components
 
     return shingle_components(table(spark, folder, "documents"))
+
+
+@query("op3_decontaminate", """
+WITH words AS (
+    SELECT doc_id AS id, 'd' AS side, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[a-z0-9]|[^\\x00-\\x7F])+') AS w
+    FROM documents UNION ALL
+    SELECT item_id, 'i', regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[a-z0-9]|[^\\x00-\\x7F])+')
+    FROM benchmark),
+starts AS (SELECT id, side, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5),
+shingles AS (SELECT DISTINCT id, side, array_to_string(w[i:i + 4], ' ') AS s FROM starts),
+items AS (SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE side = 'i')
+SELECT d.id AS doc_id, item_id, n_item, count(*) AS n_common, count(*) / n_item AS containment
+FROM items JOIN shingles d USING (s) WHERE d.side = 'd'
+GROUP BY d.id, item_id, n_item HAVING count(*) * 5 >= n_item * 4""")
+def _(spark, folder):
+    from catalogflow.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_mixing")
+def _(spark, folder):
+    from catalogflow.llm.mixing import schedule
+
+    return schedule(table(spark, folder, "documents"))
+
+
+@query("op9_token_counts")
+def _(spark, folder):
+    """Counts before and after the personal data of every text is redacted."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from catalogflow.llm import edit_counts as ec
+    from catalogflow.llm.common import whole_text
+
+    docs = table(spark, folder, "documents").select("doc_id", whole_text().alias("text"))
+    docs = docs.withColumn("edits", ec.redactions(F.col("text")))
+    path = tokenizer_path("byte_bpe_50k.json")
+    trees = ec.build_trees(docs, path, public_tokenizers.PATTERN)
+    return ec.apply_edits(trees, path, public_tokenizers.PATTERN, whole=False)
+
+
+@query("op10_toxicity")
+def _(spark, folder):
+    from catalogflow.llm.toxicity import rate_toxicity
+
+    return rate_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
