@@ -50,9 +50,10 @@ def exact_groups(
     text = normalise(text) if normalise else text
     rows = docs.select("doc_id", text.alias("text")).select(
         "doc_id", "text", digest(F.col("text")).alias("digest"), sha256(F.col("text")).alias("text_sha256"))
-    best = materialize(winners(rows, salts).select("digest", "keep_id", "group_size"), "exact-winners")
-    per_digest = best.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
+    # Written before it is joined, so that the join deals both sides out by itself and may split a hot digest.
+    per_digest = materialize(winners(rows, salts).groupBy("digest").agg(
+        F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size")),
+        "exact-winners")
     found = rows.select("doc_id", "digest", "text_sha256").join(
         per_digest.where(F.col("texts") == 1).drop("texts"), "digest")
     shared = per_digest.where(F.col("texts") > 1).select("digest")
