@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow.llm.common import in_bitmap, key_bitmap
-from catalogflow.llm.shingles import ALNUM, Words, text_buffer
+from catalogflow.llm.shingles import ALNUM, Words, sliced, text_buffer
 from catalogflow.session import materialize
 
 SHINGLE = 5
@@ -35,7 +35,7 @@ def needed(n: int) -> int:
 
 
 def _item_shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         words = Words(*text_buffer(batch.column(1)), ALNUM)
         hashes, inside = words.shingles(SHINGLE)
         at = np.flatnonzero(inside)
@@ -47,7 +47,7 @@ def _item_shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _document_hits(bitmap: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             words = Words(*text_buffer(batch.column(1)), ALNUM)
             hashes, inside = words.shingles(SHINGLE)
             at = np.flatnonzero(inside)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 LEAF = 32
 CONTEXT = 3  # signs before an edit whose cutting the edit can change
-CACHED = 400_000
+CACHED = 600_000
 
 
 class PretokenCounter(dict):
@@ -35,7 +35,9 @@ class PretokenCounter(dict):
 
     def __missing__(self, piece: str) -> int:
         n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(piece) <= 64 and len(self) < CACHED:
+        if len(piece) <= 64:
+            if len(self) >= CACHED:  # frequent ones are back at once
+                self.clear()
             self[piece] = n
         return n
 
@@ -44,10 +46,9 @@ _counters: dict[tuple[str, str], PretokenCounter] = {}
 
 
 def counter(path: str, pattern: str) -> PretokenCounter:
-    found = _counters.get((path, pattern))
-    if found is None or len(found) >= CACHED:
-        found = _counters[path, pattern] = PretokenCounter(path, pattern)
-    return found
+    if (path, pattern) not in _counters:
+        _counters[path, pattern] = PretokenCounter(path, pattern)
+    return _counters[path, pattern]
 
 
 class Tree:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.llm.common import in_bitmap, key_bitmap
 from catalogflow.llm.components import components
-from catalogflow.llm.shingles import Words, mix, text_buffer
+from catalogflow.llm.shingles import Words, mix, sliced, text_buffer
 from catalogflow.session import materialize
 
 SHINGLE = 3
@@ -135,7 +135,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         sizes, prints, parity = [], [], []
         for _, s in _sets(batch):
             mixed = mix(s + _U(1))
@@ -153,7 +153,7 @@ def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _postings(light: int, bitmap: np.ndarray | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids, keys = batch.column(0).to_numpy(zero_copy_only=False), []
             counts = np.zeros(len(batch), dtype=np.int64)
             for row, s in _sets(batch):
@@ -174,7 +174,7 @@ def _postings(light: int, bitmap: np.ndarray | None):
 
 def _wanted_sets(bitmap: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             mask = in_bitmap(bitmap, ids.astype(np.int64).view(np.uint64))
             part = batch.filter(pa.array(mask))

@@ -7,8 +7,11 @@ Running sums are taken over slices of the buffer, so memory follows the slice an
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -64,6 +67,24 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of at most ``most`` bytes of text, or of one row."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < len(batch):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+        stop = max(at + 1, stop)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def sliced(batches: Iterable[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
+    """All batches in such runs: the arrays made of one follow its bytes."""
+    for batch in batches:
+        yield from slices(batch, column)
+
+
 class Words:
     """Hash, start, end and text number of each word of a batch; ``first[i]:first[i + 1]`` are those of text ``i``."""
 

@@ -12,6 +12,7 @@ length of each compressed plane (u32 each), then the planes. All integers are li
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -27,9 +28,8 @@ from catalogflow.session import fresh_path
 
 BLOCK_IDS = 1 << 16
 LEVEL = 3
-CACHED_WORDS = 400_000  # bound of the words whose ids a worker remembers
+CACHED_WORDS = 600_000  # bound of the words whose ids a worker remembers
 END_ID = 2
-ROWS_PER_BATCH = 256
 _HEAD = struct.Struct("<4sBIB")
 CHUNK_SCHEMA = (
     "part int, chunk int, first_local long, n_ids long, payload binary,"
@@ -67,28 +67,52 @@ def unpack(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.stack(rows, axis=1)).view("<u4").ravel()
 
 
+# A word of small letters of the first 256 signs, then other signs: the tokenizer cuts between the two.
+_LETTERS_THEN_SIGNS = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([^\w\s\u0100-\U0010ffff]*)")
+
+
 class WordEncoder(dict):
     """Ids of blank-separated words as little-endian bytes.
 
     The tokenizer drops white space and never joins signs across it, so a text's ids are those of its words in
-    turn; each distinct word is encoded once while it is remembered.
+    turn; each distinct word is encoded once while it is remembered. It also counts capitals as small letters: texts
+    of the first 256 signs, where that is the same sign by sign, are taken in small letters from the start.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0x80, 0x100)}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        parts = _LETTERS_THEN_SIGNS.fullmatch(word)
+        if parts and parts[2]:
+            return self[parts[1]] + self[parts[2]]
+        if parts:
+            # One piece without anything to normalise: straight to the tokenizer's merges.
+            ids = [t.id for t in self.merges.tokenize(word.translate(self.letters))]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(word) <= 64 and len(self) < CACHED_WORDS:
+        if len(word) <= 64:
+            if len(self) >= CACHED_WORDS:  # frequent words are back at once
+                self.clear()
+                self[""] = b""
             self[word] = packed
         return packed
 
     def text(self, text: str) -> bytes:
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -96,11 +120,10 @@ _encoders: dict[str, WordEncoder] = {}
 
 
 def word_encoder(path: str) -> WordEncoder:
-    """The worker's encoder; emptied when full, frequent words are back at once."""
-    encoder = _encoders.get(path)
-    if encoder is None or len(encoder) >= CACHED_WORDS:
-        encoder = _encoders[path] = WordEncoder(path)
-    return encoder
+    """The worker's encoder, kept from task to task."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def _chunk_writer(path: str, end_id: int, block_ids: int, planes: str, level: int) -> Callable:

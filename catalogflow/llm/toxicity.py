@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogflow.llm.shingles import ALNUM, Words, text_buffer
+from catalogflow.llm.shingles import ALNUM, Words, sliced, text_buffer
 
 BUCKETS = 1 << 20  # word features
 SAMPLE_ROWS = 8000  # labelled documents fitted on, half of them toxic where there are as many
@@ -48,7 +48,7 @@ def _buckets(words: Words) -> np.ndarray:
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct word numbers of each text of the second column."""
-    for batch in batches:
+    for batch in sliced(batches):
         words = Words(*text_buffer(batch.column(1)), ALNUM)
         numbers, first = _buckets(words), words.first
         sets = [np.unique(numbers[first[i]:first[i + 1]]) for i in range(len(batch))]
@@ -184,7 +184,7 @@ def scores(column: pa.Array, model: Model) -> np.ndarray:
 
 def _scorer(model: Model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             p = model.probabilities(scores(batch.column(1), model))
             expected = p @ np.arange(p.shape[1])
             yield pa.RecordBatch.from_arrays(
@@ -212,7 +212,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) ->
     place = docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, place):
             p = model.probabilities(scores(batch.column(place), model))
             yield batch.filter(pa.array(p[:, 0] > 0.5))
 
