@@ -55,7 +55,8 @@ def split_summary(df: DataFrame, train_batches: Sequence[int], version: int) ->
 def class_drift(df: DataFrame, label: str, version: int, limit: float = 0.01) -> DataFrame:
     """Per class |p_val - p_train| inside the superset, with the maximum and the verdict.
 
-    Both shares come from one count per class, so a class missing on one side has share 0.
+    Both shares come from one count per class, so a class missing on one side has share 0. When a whole
+    side has no rows there is nothing to compare: drift is null and the verdict false.
     """
     flag = F.col(f"is_val_selection_v{version}")
     offered = df.where((F.col("batch_id") <= version) & ~F.col("is_gold") & flag.isNotNull())
@@ -66,10 +67,11 @@ def class_drift(df: DataFrame, label: str, version: int, limit: float = 0.01) ->
         total = F.sum(f"n_{part}").over(everything)
         return F.when(total > 0, F.col(f"n_{part}") / total).otherwise(0.0).alias(f"p_{part}")
 
-    drift = counts.select(label, share("val"), share("train")).withColumn(
-        "drift_abs", F.abs(F.col("p_val") - F.col("p_train")))
+    both = (F.sum("n_val").over(everything) > 0) & (F.sum("n_train").over(everything) > 0)
+    drift = counts.select(label, share("val"), share("train"), both.alias("_both")).withColumn(
+        "drift_abs", F.when(F.col("_both"), F.abs(F.col("p_val") - F.col("p_train")))).drop("_both")
     return drift.withColumn("max_drift", F.max("drift_abs").over(everything)).withColumn(
-        "passed", F.col("max_drift") < limit
+        "passed", F.coalesce(F.col("max_drift") < limit, F.lit(False))
     )
 
 

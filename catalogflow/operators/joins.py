@@ -12,11 +12,15 @@ from catalogflow.session import small_side
 
 
 def zip_by_position(x: DataFrame, y: DataFrame, position: str = "row_id") -> DataFrame:
-    """Align two files by their row index; unequal lengths are an error."""
-    counts = x.select(F.lit("x").alias("side")).unionByName(y.select(F.lit("y").alias("side")))
-    n = {r["side"]: r["count"] for r in counts.groupBy("side").count().collect()}
-    if n.get("x", 0) != n.get("y", 0):
-        raise ValueError(f"files differ in length: {n.get('x', 0)} and {n.get('y', 0)} rows")
+    """Align two files by their row index; an index that is not once on either side is an error."""
+    sides = x.select(position, F.lit(1).alias("x"), F.lit(0).alias("y")).unionByName(
+        y.select(position, F.lit(0).alias("x"), F.lit(1).alias("y")))
+    uneven = sides.groupBy(position).agg(F.sum("x").alias("x"), F.sum("y").alias("y")).where(
+        (F.col("x") != 1) | (F.col("y") != 1) | F.col(position).isNull())
+    wrong = uneven.limit(3).collect()
+    if wrong:
+        raise ValueError("files differ: " + ", ".join(
+            f"row {r[position]} is {r['x']} and {r['y']} times in them" for r in wrong))
     return x.join(y, position)
 
 
@@ -112,12 +116,18 @@ def class_dimension(labels: DataFrame, code: str = "prdtypecode") -> DataFrame:
 
 
 def encode_label(df: DataFrame, dimension: DataFrame, code: str = "prdtypecode") -> DataFrame:
-    return df.join(small_side(dimension), code)
+    """Add the index of each code; a code without an index is an error, not a lost row."""
+    known = F.when(F.col("label").isNull() & F.col(code).isNotNull(), F.raise_error(
+        F.concat(F.lit("class without index: "), F.col(code).cast("string"))).cast("int")).otherwise(F.col("label"))
+    return df.where(F.col(code).isNotNull()).join(dimension, code, "left").withColumn("label", known)
 
 
 def decode_label(df: DataFrame, dimension: DataFrame, label: str = "label", code: str = "prdtypecode") -> DataFrame:
     lookup = dimension.select(F.col("label").alias(label), code)
-    return df.join(small_side(lookup), label)
+    known = F.when(F.col(code).isNull() & F.col(label).isNotNull(), F.raise_error(
+        F.concat(F.lit("index without class: "), F.col(label).cast("string"))).cast(
+        dimension.schema[code].dataType)).otherwise(F.col(code))
+    return df.where(F.col(label).isNotNull()).join(lookup, label, "left").withColumn(code, known)
 
 
 def upsert_columns(base: DataFrame, delta: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -62,10 +62,7 @@ def promotion_decision(challengers: DataFrame, versions: DataFrame, aliases: Dat
 
 def promotion_gain_geq(challengers: DataFrame, versions: DataFrame, aliases: DataFrame, alias: str,
                        epsilon: float = 0.005) -> DataFrame:
-    """Same comparison with gain >= epsilon and the reason spelled out.
-
-    The reasons are fixed texts, read by whoever reviews the promotion log.
-    """
+    """Same comparison with gain >= epsilon and a code for what decided it."""
     joined = challengers.join(alias_holders(versions, aliases, alias), "name", "left")
     first = F.col("holder_metric").isNull()
     wide = joined.withColumn("gain", F.col("metric") - F.col("holder_metric"))
@@ -73,10 +70,8 @@ def promotion_gain_geq(challengers: DataFrame, versions: DataFrame, aliases: Dat
     return wide.select(
         "name", "version", "metric", "holder_version", "holder_metric", "gain",
         F.when(first, True).otherwise(enough).alias("promoted"),
-        F.when(first, f"first_{alias} (no previous {alias} in registry)")
-        .when(enough, F.format_string(f"gain %+.4f >= epsilon {epsilon:+.4f} (significant)", "gain"))
-        .otherwise(F.format_string(f"gain %+.4f < epsilon {epsilon:+.4f} (not significant)", "gain"))
-        .alias("reason"),
+        F.when(first, "no_holder").when(enough, "gain_reached").otherwise("gain_too_small").alias("decided_by"),
+        F.lit(epsilon).alias("epsilon"),
     )
 
 

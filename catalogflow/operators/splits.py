@@ -247,6 +247,6 @@ def replay_mix(df: DataFrame, batches: Sequence[int], label: str, key: str, frac
 
 def effective_pool(df: DataFrame, batches: Sequence[int], version: int, batch: str = "batch_id",
                    gold: str = "is_gold") -> DataFrame:
-    """Training pool without the rows of validation version ``version``."""
+    """Training pool without the rows of validation version ``version``; a gold flag never set counts as not gold."""
     flag = F.coalesce(F.col(f"is_val_selection_v{version}"), F.lit(False))
-    return df.where(F.col(batch).isin(list(batches)) & ~F.col(gold) & ~flag)
+    return df.where(F.col(batch).isin(list(batches)) & ~F.coalesce(F.col(gold), F.lit(False)) & ~flag)

@@ -422,9 +422,8 @@ def _(spark, folder):
 
 @query("promotion_gain_geq", f"""WITH {_HOLDER} SELECT ch.name, version, metric, holder_version, holder_metric, {s6('metric - holder_metric', 'gain')},
     holder_metric IS NULL OR metric - holder_metric >= 0.005::DOUBLE AS promoted,
-    CASE WHEN holder_metric IS NULL THEN 'first_champion (no previous champion in registry)'
-    WHEN metric - holder_metric >= 0.005::DOUBLE THEN printf('gain %+.4f >= epsilon +0.0050 (significant)', metric - holder_metric)
-    ELSE printf('gain %+.4f < epsilon +0.0050 (not significant)', metric - holder_metric) END AS reason
+    CASE WHEN holder_metric IS NULL THEN 'no_holder' WHEN metric - holder_metric >= 0.005::DOUBLE THEN 'gain_reached'
+    ELSE 'gain_too_small' END AS decided_by, 0.005::DOUBLE AS epsilon
     FROM ch LEFT JOIN h USING (name)""", ("aliases",))
 def _(spark, folder):
     decided = rg.promotion_gain_geq(_challengers(spark, folder), st.versions(spark, folder), st.aliases(spark, folder), "champion")

@@ -31,11 +31,13 @@ def wide_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _as_catalog(documents: DataFrame) -> DataFrame:
+    """Title and description together hold the whole text; where there is no description the title holds it all."""
     text = F.col("text")
     return documents.select(
         F.col("doc_id").alias("productid"),
         (F.col("doc_id") * 7 + 1).alias("imageid"),
-        F.substring(text, 1, 60).alias("designation"),
+        F.when((F.col("doc_id") % 5 == 0) | (F.col("doc_id") % 7 == 0), text).otherwise(
+            F.substring(text, 1, 60)).alias("designation"),
         F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 7 == 0, "   ")
         .otherwise(text.substr(F.lit(61), F.length(text))).alias("description"),
         (F.col("doc_id") % 3 + 1).cast("int").alias("batch_id"),
@@ -185,7 +187,8 @@ def _probability(first: int) -> str:
 GOLD = "(concat('0x', substr(md5(CAST({key} AS VARCHAR)), 1, 16))::UBIGINT % 10 = 0)"
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
-    "catalog": ((), """SELECT doc_id AS productid, doc_id * 7 + 1 AS imageid, substring(text, 1, 60) AS designation,
+    "catalog": ((), """SELECT doc_id AS productid, doc_id * 7 + 1 AS imageid,
+        CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 THEN text ELSE substring(text, 1, 60) END AS designation,
         CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '   ' ELSE substring(text, 61) END AS description,
         CAST(doc_id % 3 + 1 AS INTEGER) AS batch_id FROM documents"""),
     "catalog_labels": ((), """SELECT doc_id AS productid, CAST(substring(source, 4) AS INTEGER) * 10 AS prdtypecode
