@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions.text import feature_group, tokenize
 from catalogflow.functions.vectors import has_nan
-from catalogflow.session import small_side
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -127,10 +126,12 @@ def encode_tokens(df: DataFrame, vocab: DataFrame, key: str, text: str, max_len:
     those are gathered per key, which a partial aggregation starts before the shuffle.
     """
     tokens = F.slice(tokenize(F.col(text)), 1, max_len)
-    rows = df.select(key, F.posexplode_outer(tokens).alias("_pos", "_token"))
-    known = small_side(vocab.select(F.col("token").alias("_token"), F.col("id").alias("_code")))
+    # Rows are told apart by a number of their own: two may have one key.
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    rows = numbered.select("_row", key, F.posexplode_outer(tokens).alias("_pos", "_token"))
+    known = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_code"))
     pair = F.struct("_pos", F.coalesce("_code", F.lit(1)).cast("int").alias("_code"))
-    gathered = rows.join(known, "_token", "left").groupBy(key).agg(
+    gathered = rows.join(known, "_token", "left").groupBy("_row", key).agg(
         F.array_sort(F.collect_list(F.when(F.col("_token").isNotNull(), pair))).alias("_pairs")
     )
     codes = F.transform("_pairs", lambda t: t["_code"])

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogflow.session import small_side
-
 
 def zip_by_position(x: DataFrame, y: DataFrame, position: str = "row_id") -> DataFrame:
     """Align two files by their row index; an index that is not once on either side is an error."""
@@ -63,7 +61,7 @@ def cache_coverage(base: DataFrame, caches: Mapping[str, DataFrame], key: str =
 
 def lookup_default(df: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
     """Left lookup with a stand-in for missing entries."""
-    looked_up = df.join(small_side(dim.select(key, *defaults)), key, "left")
+    looked_up = df.join(dim.select(key, *defaults), key, "left")
     return looked_up.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow.functions.hashing import split_hash
-from catalogflow.session import small_side
+from catalogflow.session import materialize
 
 # 4,096 hash prefixes per class: few enough for map-side counts to shrink the histogram's
 # shuffle, enough for the rows that share a cut's prefix to be a small part of a hot class.
@@ -83,9 +83,10 @@ def cut_keys(df: DataFrame, label: str, key: str, seed: int, histogram: DataFram
         F.transform("positions", lambda p, i: F.struct((p - first).alias("need"), i.alias("cut_no"))),
         lambda c: (c["need"] > 0) & (c["need"] <= F.col("n")),
     )
-    cells = small_side(
-        histogram.join(cuts, "class").select("class", "prefix", inside.alias("cuts")).where(F.size("cuts") > 0)
-    )
+    # A row per cut at most; written, so that the planner knows its size.
+    cells = materialize(
+        histogram.join(cuts, "class").select("class", "prefix", inside.alias("cuts")).where(F.size("cuts") > 0),
+        "split-cells")
     hashed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("class"), F.col(key).alias("id"), split_hash(F.col(key), seed).alias("hash")
     )
@@ -117,7 +118,7 @@ def segment(df: DataFrame, label: str, key: str, seed: int, histogram: DataFrame
     passed: Column = behind[0]
     for b in behind[1:]:
         passed = passed + b
-    keys = small_side(lasts)
+    keys = materialize(lasts, "split-keys")
     histogram.unpersist()
     return (
         df.withColumn("_here", here).join(keys, F.col(label) == F.col("_class"), "left")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions import vectors as V
 from catalogflow.functions.hashing import is_gold
-from catalogflow.sources.readers import widened
 
 N_CLASSES = 10  # classes of the embeddings table
 
@@ -17,8 +16,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
-    """A text table, spread over the cores where it is one small file."""
-    return widened(table(spark, folder, name))
+    return table(spark, folder, name)
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:

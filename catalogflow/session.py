@@ -1,4 +1,4 @@
-"""Session settings, shared storage and size-checked broadcasts."""
+"""Session settings and shared storage."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Adaptive execution sizes the reducers at run time, so a large initial partition
 # count costs little: small shuffles are coalesced, skewed joins are split.
@@ -22,11 +21,6 @@ ENGINE_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# A side of a join is broadcast only below both bounds, measured before planning.
-BROADCAST_MAX_ROWS = 100_000
-BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-
-
 def build_session(app: str = "catalogflow", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -59,28 +53,3 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     path = fresh_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def _bytes(value: object) -> int:
-    """Rough size of a collected value: 16 bytes per scalar, the content of text and lists."""
-    if isinstance(value, (str, bytes, bytearray)):
-        return 16 + 4 * len(value)
-    if isinstance(value, (list, tuple)):
-        return 16 + sum(_bytes(v) for v in value)
-    return 16
-
-
-def small_side(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> DataFrame:
-    """Broadcast ``df`` only when its measured size is under the bounds.
-
-    At most ``max_rows + 1`` rows come to the driver, as they do in any broadcast, and they
-    are kept: the plan that made them runs once. The limit is taken partition by partition
-    and stops when it is full, so a large table costs a look at its first partitions. It
-    comes back unhinted and is joined by a shuffle, where adaptive execution splits hot keys.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows or sum(_bytes(r) for r in rows) > max_bytes:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -11,16 +11,6 @@ from pyspark.sql import types as T
 IMAGE_NAME = r"image_(\d+)_product_(\d+)\.[A-Za-z]+$"
 
 
-def widened(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores, before heavy row work.
-
-    A large table has splits enough and comes back unchanged, without a shuffle. Only for
-    plain scans, whose split count is known without running anything.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_indexed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """CSV whose first, unnamed column is the row index.
 

@@ -141,16 +141,29 @@ def test_columns_by_pattern_and_required(spark):
         ql.required_columns(df, ["productid", "label"])
 
 
-def test_broadcast_only_below_the_bounds(spark):
-    small = session.small_side(spark.range(10))
-    large = session.small_side(spark.range(50), max_rows=20)
-    wide = session.small_side(spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("s")), max_bytes=5000)
-
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(small) and not hinted(large) and not hinted(wide)
-    assert large.count() == 50 and wide.count() == 10
+def test_joins_name_what_does_not_match(spark):
+    from pyspark.errors import PySparkException
+
+    from catalogflow.operators import aggregates as ag
+    from catalogflow.operators import joins as jn
+
+    ids = lambda *n: spark.createDataFrame([(i,) for i in n], "row_id long")
+    assert jn.zip_by_position(ids(1, 2, 3), ids(3, 2, 1)).count() == 3
+    for other in ((1, 2, 4), (1, 2, 2), (1, 2)):
+        with pytest.raises(ValueError):
+            jn.zip_by_position(ids(1, 2, 3), ids(*other))
+    classes = spark.createDataFrame([(10, 0), (40, 1)], "prdtypecode int, label int")
+    seen = spark.createDataFrame([(10,), (99,)], "prdtypecode int")
+    with pytest.raises(PySparkException):
+        jn.encode_label(seen, classes).collect()
+    assert rows(jn.encode_label(seen.where("prdtypecode = 10"), classes)) == [(10, 0)]
+    flags = spark.createDataFrame([(1, False, False, 5)] * 9, "batch_id int, is_gold boolean, is_val_selection_v1 boolean, c int")
+    drift = ag.class_drift(flags, "c", 1).first()
+    assert drift["passed"] is False and drift["drift_abs"] is None
+    vocab = spark.createDataFrame([("a", 2), ("b", 3)], "token string, id int")
+    twice = spark.createDataFrame([(1, "a b"), (1, "b b")], "productid long, text string")
+    codes = ag.encode_tokens(twice, vocab, "productid", "text", 2)
+    assert sorted(list(next(v for v in r if isinstance(v, list))) for r in codes.collect()) == [[2, 3], [3, 3]]
 
 
 def test_materialize_cuts_lineage(spark):
