@@ -34,7 +34,7 @@ from catalogflow.session import materialize
 
 SHINGLE = 3
 NUMER, DENOM = 9, 19  # a link needs |A & B| >= (|A| + |B|) * 9 / 19, similarity 90 / 100
-SMALLEST = 10  # below this size only equal sets link
+SMALLEST = 9  # below this size only equal sets link
 MAX_LIGHT = 40  # sizes weighed as boundary
 VERIFY_COST = 2  # keys that fetching one shingle of a set to verify a pair is worth
 BITMAP_BITS = 1 << 25
