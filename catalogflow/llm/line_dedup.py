@@ -63,7 +63,9 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     each other and lose the same lines. Needs ``doc_id`` and ``text``; other columns are not read.
     """
     gone = materialize(covered(docs, size), "line-covered")
-    rows = docs.select("doc_id", lines_of(whole_text()).alias("lines")).join(gone, "doc_id", "left")
+    # One plan at every size: each text is dealt out once, and the lines to remove are never broadcast.
+    rows = docs.select("doc_id", whole_text().alias("text")).join(gone.hint("merge"), "doc_id", "left").select(
+        "doc_id", lines_of(F.col("text")).alias("lines"), "gone")
     # Gaps between removed lines are slices: the work follows the lines, not lines times removals.
     bounds = F.concat(F.array(F.lit(-1)), F.coalesce("gone", F.array().cast("array<int>")), F.array(F.size("lines")))
     left = F.flatten(F.zip_with(
