@@ -44,15 +44,18 @@ def _ip_parts(value: Column) -> Column:
 
 # The patterns of the base kinds, as runs that are read once.
 BASE = [
-    sp.Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", hint="@"),
-    sp.Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _ip_parts),
-    sp.Kind("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])", _luhn),
-    sp.Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda v: F.length(digits(v)).between(9, 15), hint="+"),
+    sp.Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", hint=lambda t: t.contains("@")),
+    sp.Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _ip_parts,
+            hint=lambda t: t.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]")),
+    sp.Kind("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])", _luhn,
+            hint=lambda t: t.rlike("[0-9](?:[ -]?[0-9]){11}")),
+    sp.Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda v: F.length(digits(v)).between(9, 15), hint=lambda t: t.contains("+")),
 ]
 OTHER = sp.Kind(
     "other",
     r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z@._%+-]{0,32}[0-9])[A-Za-z0-9@._%+-]{5,64}+(?![A-Za-z0-9@._%+-])",
     lambda v: F.length(digits(v)) >= MIN_DIGITS,
+    hint=lambda t: t.rlike("[0-9](?:[A-Za-z@._%%+-]*+[0-9]){%d}" % (MIN_DIGITS - 1)),
 )
 
 

@@ -26,8 +26,8 @@ _assign_value = r"""(?i:password|passwd|secret|token|api_?key)["']? *[:=] *["']?
 # The patterns of the base kinds.
 BASE = [
     sp.Kind("assign", _assign_value + "[A-Za-z0-9+/_.=-]+",
-            lambda v: F.length(F.regexp_replace(v, "^" + _assign_value, "")) >= 12),
-    sp.Kind("access", "AKIA[A-Z0-9]{14,}+", hint="AKIA"),
+            lambda v: F.length(F.regexp_replace(v, "^" + _assign_value, "")) >= 12, hint=lambda t: _names_secret(t)),
+    sp.Kind("access", "AKIA[A-Z0-9]{14,}+", hint=lambda t: t.contains("AKIA")),
     sp.Kind("hex", "(?<![0-9a-f])[0-9a-f]{16,}+"),
 ]
 TOKEN = sp.Kind(
@@ -36,6 +36,14 @@ TOKEN = sp.Kind(
 )
 
 
+def _names_secret(text: Column) -> Column:
+    small = F.lower(text)
+    out = small.contains("password")
+    for word in ["passwd", "secret", "token", "apikey", "api_key"]:
+        out = out | small.contains(word)
+    return out
+
+
 def base_spans(text: Column) -> Column:
     return sp.by_start(F.concat(*[sp.matches(text, k) for k in BASE]), KINDS)
 
@@ -67,7 +75,9 @@ def train(docs: DataFrame, scanned: DataFrame, sample: int = SAMPLE_DOCUMENTS) -
     random = scanned.where(F.size("base") > 0).orderBy(chosen, "doc_id").limit(sample).select(
         F.explode("base").alias("s")).select(
         F.regexp_replace("s.value", "^" + _assign_value, "").alias("token")).distinct()
-    ordinary = docs.select("doc_id", whole_text().alias("text")).orderBy(chosen, "doc_id").limit(sample)
+    # At most ``sample`` ids are ranked and broadcast; texts stay where they are read.
+    ids = docs.select("doc_id").distinct().orderBy(chosen, "doc_id").limit(sample)
+    ordinary = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id", "left_semi")
     cleared = F.col("text")
     for kind in [*BASE, TOKEN]:
         cleared = F.regexp_replace(cleared, kind.pattern, " ")
