@@ -1,7 +1,7 @@
 """Token counts that follow edits: a segment tree of pre-tokens per document, re-encoded only where an edit touches.
 
 A text is cut by the tokenizer's own pattern into pre-tokens, which are encoded independently. Leaves hold the signs
-and tokens of ``LEAF`` successive pre-tokens, inner nodes the sums below them. An edit re-encodes from the leaf that
+and tokens of ``LEAF`` successive pre-tokens, or of as many words with all their pre-tokens, inner nodes the sums below them. An edit re-encodes from the leaf that
 holds the third sign before it, as far as the pattern can look ahead, to the first leaf boundary behind the edit at
 which the new cutting meets the old one; from there on both agree, since a match depends only on what follows its
 start. The new pre-tokens go into the first touched leaf, the others become empty, and sums are updated upwards.
@@ -18,29 +18,73 @@ from pyspark.sql import functions as F
 
 LEAF = 32
 CONTEXT = 3  # signs before an edit whose cutting the edit can change
-CACHED = 600_000
+CACHED = 400_000
+
+# The bytes that a byte-level vocabulary writes as themselves; the others follow from sign 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(SHOWN)))}
 
 
 class PretokenCounter(dict):
-    """Tokens of a pre-token, each distinct one encoded once while it is remembered."""
+    """Tokens of a pre-token, each distinct one encoded once while it is remembered.
+
+    The pattern must begin a pre-token at every space between two signs that are no white space and keep a space and
+    letters together, as those of byte-level tokenizers do: ``spaced`` counts a space and all signs up to the next
+    one at once.
+    """
 
     def __init__(self, path: str, pattern: str):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         super().__init__()
         self.pattern = regex.compile(pattern)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        cut = self.tokenizer.pre_tokenizer
+        plain = self.tokenizer.normalizer is None and isinstance(cut, pre_tokenizers.ByteLevel)
+        plain = plain and not cut.add_prefix_space and isinstance(self.tokenizer.model, models.BPE)
+        # Without a normalizer the tokens of a pre-token are those of its bytes by the merges alone.
+        self.merges = self.tokenizer.model if plain else None
+        self.spaced = SpacedCounter(self)
+
+    def encoded(self, piece: str) -> int:
+        if self.merges is None:
+            return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        return len(self.merges.tokenize(piece.encode().decode("latin-1").translate(BYTE_SIGNS)))
 
     def __missing__(self, piece: str) -> int:
-        n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        n = self.encoded(piece)
         if len(piece) <= 64:
             if len(self) >= CACHED:  # frequent ones are back at once
                 self.clear()
             self[piece] = n
         return n
 
+    def tokens(self, text: str) -> int:
+        return sum(map(self.__getitem__, self.pattern.findall(text)))
+
+
+class SpacedCounter(dict):
+    """Tokens of a space and the signs behind it, given without the space; -1 where white space meets white space."""
+
+    def __init__(self, pieces: PretokenCounter):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, run: str) -> int:
+        if not run or run[0].isspace() or run[-1].isspace():
+            n = -1
+        elif run.isascii() and run.isalpha():
+            n = self.pieces.encoded(" " + run)
+        else:
+            n = self.pieces.tokens(" " + run)
+        if len(run) <= 64:
+            if len(self) >= CACHED:
+                self.clear()
+            self[run] = n
+        return n
+
 
 _counters: dict[tuple[str, str], PretokenCounter] = {}
 
@@ -93,12 +137,18 @@ class Tree:
 
 
 def build(text: str, count: PretokenCounter) -> Tree:
-    pieces = count.pattern.findall(text)
-    starts = np.arange(0, len(pieces), LEAF)
-    if not len(starts):
+    if not text:
         return Tree(np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))
-    chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-    tokens = np.fromiter(map(count.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+    pieces = text.split(" ")
+    chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 1
+    chars[0] -= 1
+    tokens = np.fromiter(map(count.spaced.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+    tokens[0] = -1 if pieces[0][-1:].isspace() else count.tokens(pieces[0])
+    if tokens.min() < 0:
+        pieces = count.pattern.findall(text)
+        chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        tokens = np.fromiter(map(count.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+    starts = np.arange(0, len(pieces), LEAF)
     return Tree(np.add.reduceat(chars, starts), np.add.reduceat(tokens, starts))
 
 
