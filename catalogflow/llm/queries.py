@@ -146,3 +146,43 @@ def _(spark, folder):
     from catalogflow.llm.toxicity import rate_toxicity
 
     return rate_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_divergence_audit", r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents),
+occ AS (SELECT rid, lang, source, unnest(t) AS term FROM d),
+kept AS (SELECT lang, term FROM (SELECT DISTINCT rid, lang, term FROM occ) GROUP BY lang, term HAVING count(*) >= 3),
+vs AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+gc AS (SELECT lang, source, term, count(*) AS c FROM occ SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(gc.c, 0) AS c
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN gc USING (lang, source, term)),
+gn AS (SELECT lang, source, sum(c) AS n FROM grid GROUP BY ALL),
+gp AS (
+    SELECT lang, source, term, c, 1 + ((c + 1)::HUGEINT * 1000000000) // (n + v) AS p
+    FROM grid JOIN gn USING (lang, source) JOIN vs USING (lang)),
+lc AS (SELECT lang, term, sum(c) AS c FROM grid GROUP BY ALL),
+ln AS (SELECT lang, sum(c) AS n FROM lc GROUP BY ALL),
+lp AS (SELECT lang, term, 1 + ((c + 1)::HUGEINT * 1000000000) // (n + v) AS p FROM lc JOIN ln USING (lang) JOIN vs USING (lang)),
+pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+        coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // y.p) FROM gp x JOIN gp y USING (lang, term)
+                  WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+term AS (
+    SELECT gp.lang, gp.source, 'term' AS part, gp.term AS item, (gp.p - lp.p) * (gp.p - lp.p) // lp.p AS value
+    FROM gp JOIN lp USING (lang, term) WHERE gp.c > 0 AND gp.p > lp.p),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+    FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 200""")
+def _(spark, folder):
+    from catalogflow.llm.divergence import audit
+
+    return audit(table(spark, folder, "documents"))
