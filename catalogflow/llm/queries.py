@@ -186,3 +186,40 @@ def _(spark, folder):
     from catalogflow.llm.divergence import audit
 
     return audit(table(spark, folder, "documents"))
+
+
+@query("op11_quality_rules", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+    SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM d),
+windows AS (
+    SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+    FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+rep AS (SELECT rid, win FROM windows GROUP BY rid, win HAVING count(*) >= 2),
+covered AS (
+    SELECT rid, count(DISTINCT i + k) AS n FROM windows JOIN rep USING (rid, win), (SELECT unnest([0, 1, 2]) AS k)
+    GROUP BY rid),
+m AS (
+    SELECT doc_id, words, lines, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_word_lines,
+        CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+    FROM w LEFT JOIN covered USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT (
+        word_chars < 3 * n_words OR word_chars > 10 * n_words
+        OR 10 * n_symbols > n_words
+        OR 10 * n_dup_lines > 3 * n_word_lines
+        OR 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) < 8 * n_words
+        OR 10 * len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) > 3 * n_word_lines
+        OR 10 * len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•‣◦]'))) > 9 * n_word_lines
+    ) AS kept
+FROM b""")
+def _(spark, folder):
+    from catalogflow.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, folder, "documents")).drop("rejected_by")
