@@ -46,6 +46,27 @@ def divergence(p: Column, q: Column) -> Column:
     return F.call_function("div", d * d, q)
 
 
+def per_document(base: DataFrame) -> DataFrame:
+    """Rows (lang, source, term, c) of ``base(lang, source, terms)``: each distinct term of a row and its count.
+
+    The terms are sorted; runs of equal terms start where a term differs from the one before, and a run's count is
+    the distance to the next start. Lambdas read only their own arguments (shifted slices are zipped), and each array
+    is its own column, so a row costs O(n log n) in its number of terms.
+    """
+    sorted_ = base.withColumn("_sorted", F.sort_array("terms")).drop("terms")
+    s = F.col("_sorted")
+    rest = F.greatest(F.size(s) - 1, F.lit(0))
+    starts = F.concat(F.array(F.lit(True)), F.zip_with(F.slice(s, 2, rest), F.slice(s, 1, rest), lambda x, y: x != y))
+    first = F.filter(F.transform(starts, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+    staged = sorted_.withColumn("_first", F.when(F.size(s) == 0, F.array().cast("array<int>")).otherwise(first))
+    b = F.col("_first")
+    ends = F.concat(F.slice(b, 2, F.greatest(F.size(b) - 1, F.lit(0))), F.array(F.size(s)))
+    pairs = F.zip_with(F.array_distinct(s), F.zip_with(ends, b, lambda e, x: e - x),
+                       lambda t, c: F.struct(t.alias("term"), c.cast("long").alias("c")))
+    return staged.select("lang", "source", F.explode(pairs).alias("_t")).select(
+        "lang", "source", F.col("_t.term").alias("term"), F.col("_t.c").alias("c"))
+
+
 def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms: int = TOP_TERMS,
           salts: int = SALTS) -> DataFrame:
     """Rows (lang, source, part, item, value long, rank int) of the audit of ``docs(text, lang, source)``.
@@ -66,13 +87,17 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms: int =
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
         terms(F.coalesce(F.col("text"), F.lit(""))).alias("terms"))
     groups = materialize(base.select("lang", "source").distinct(), "divergence-groups")
-    kept = (base.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
-            .groupBy("lang", "term").count().where(F.col("count") >= min_documents).select("lang", "term"))
+    # One row per document and distinct term, with its count there: a single shuffle serves document frequency
+    # and occurrence counts, and a hot term is pre-aggregated within each task.
+    per_group = materialize(
+        per_document(base).groupBy("lang", "source", "term")
+        .agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("documents")), "divergence-per-group")
+    kept = (per_group.groupBy("lang", "term").agg(F.sum("documents").alias("documents"))
+            .where(F.col("documents") >= min_documents).select("lang", "term"))
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     # Written once: the runs, the pairs and the term part all start from these counts.
-    counts = materialize(base.select("lang", "source", F.explode("terms").alias("term"))
-                         .groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("c"))
-                         .join(kept, ["lang", "term"], "left_semi"), "divergence-counts")
+    counts = materialize(per_group.join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "c"),
+                         "divergence-counts")
     totals = (groups.join(counts.groupBy("lang", "source").agg(F.sum("c").alias("n")), ["lang", "source"], "left")
               .join(sizes, "lang", "left")
               .select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v")))
