@@ -63,8 +63,9 @@ def per_document(base: DataFrame) -> DataFrame:
     ends = F.concat(F.slice(b, 2, F.greatest(F.size(b) - 1, F.lit(0))), F.array(F.size(s)))
     pairs = F.zip_with(F.array_distinct(s), F.zip_with(ends, b, lambda e, x: e - x),
                        lambda t, c: F.struct(t.alias("term"), c.cast("long").alias("c")))
+    # zip_with pads the shorter array with nulls: a row without terms yields one null entry, dropped here.
     return staged.select("lang", "source", F.explode(pairs).alias("_t")).select(
-        "lang", "source", F.col("_t.term").alias("term"), F.col("_t.c").alias("c"))
+        "lang", "source", F.col("_t.term").alias("term"), F.col("_t.c").alias("c")).where(F.col("term").isNotNull())
 
 
 def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms: int = TOP_TERMS,
