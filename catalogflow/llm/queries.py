@@ -223,3 +223,33 @@ def _(spark, folder):
     from catalogflow.llm.quality_rules import quality_rules
 
     return quality_rules(table(spark, folder, "documents")).drop("rejected_by")
+
+
+@query("op12_hard_negatives", r"""
+WITH c AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+    SELECT a.vec_id AS aid, a.label AS alab, r.vec_id AS rid, r.label AS rlab,
+        coalesce(list_sum(list_transform(range(1, greatest(len(a.v), len(r.v)) + 1),
+            lambda i: coalesce(a.v[i], 0) * coalesce(r.v[i], 0))), 0)::BIGINT AS score
+    FROM c a, c r WHERE a.vec_id % 100 = 0),
+pos AS (
+    SELECT aid, rid AS pid, score AS ps FROM (
+        SELECT *, row_number() OVER (PARTITION BY aid ORDER BY score DESC, rid) AS k
+        FROM s WHERE rlab = alab AND rid <> aid) WHERE k <= 5),
+neg AS (
+    SELECT pos.aid, pid, ps, s.rid, s.score,
+        row_number() OVER (PARTITION BY pos.aid, pid ORDER BY s.score DESC, s.rid) AS k
+    FROM pos JOIN s ON s.aid = pos.aid
+    WHERE s.rlab <> s.alab AND 80 * ps <= 100 * s.score AND 100 * s.score <= 100 * ps)
+SELECT aid AS anchor_id, pid AS positive_id, CAST(k AS INTEGER) AS rank, rid AS negative_id,
+    ps AS positive_score, score AS negative_score
+FROM neg WHERE k <= 5""")
+def _(spark, folder):
+    from catalogflow.llm.hard_negatives import mine_hard_negatives
+
+    return mine_hard_negatives(table(spark, folder, "embeddings"))
