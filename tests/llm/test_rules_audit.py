@@ -113,3 +113,35 @@ def test_audit_small_top_and_empty(spark):
     assert got == brute_audit(rows, top=2)
     empty = spark.createDataFrame([], "text string, lang string, source string")
     assert divergence.audit(empty).count() == 0
+
+
+def test_audit_shuffles_terms_once(spark):
+    """Run classes and counts stay where the terms were dealt: before, 59 exchanges carried them again and again."""
+    rows = [(f"a b c {chr(97 + i % 20)}x é", "en", f"s{i % 5}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    audit = divergence.audit(docs)
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("Exchange hashpartitioning") <= 12
+    assert sorted(tuple(r) for r in audit.collect()) == brute_audit(rows)
+
+
+def test_audit_term_counts_handed_on_in_pieces(spark):
+    texts = ["B a b A", "", "\x00é É\u00a0x\u2003y[z", "a " * 50 + "c", "a1b\tc"]
+    rows = [("en", "s", t) for t in texts] * 3 + [("fr", "", "a"), ("en", "t", "c")]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(2)
+    found = defaultdict(lambda: [0, 0])
+    for lang, source, text in rows:
+        got = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda c: c.group(0).lower(), text))
+        for term, n in Counter(got).items():
+            found[lang, source, term][0] += n
+            found[lang, source, term][1] += 1
+    for held in (1, 4, 1000):
+        got = divergence.term_counts(docs, held).collect()
+        assert {(r.lang, r.source, r.term): [r.c, r.documents] for r in got} == found and len(got) == len(found)
+
+
+def test_audit_frequency_of_any_count(spark):
+    cases = [(0, 1, 1), (5, 10, 7), (9223372034, 10**12, 3), (9223372035, 10**12, 3), (9223372036, 10**13, 10**6), (10**15, 10**17, 5)]
+    df = spark.createDataFrame(cases, "c long, n long, v long")
+    got = df.select("c", "n", "v", divergence.smoothed(F.col("c"), F.col("n"), F.col("v")).cast("long").alias("p")).collect()
+    assert sorted(tuple(r) for r in got) == [(c, n, v, 1 + 10**9 * (c + 1) // (n + v)) for c, n, v in cases]
