@@ -2,9 +2,10 @@
 
 A store is a Parquet table with a row per chunk. Chunks hold ``block_ids`` ids (the last of a part fewer) as one
 payload: the ids of the block as unsigned 32-bit integers, transposed into planes of bits or bytes and each plane
-compressed with zstandard. The other columns are the chunk index: part, number in the part, first id, ids, and the
-documents that begin in the chunk with their offset. Parts are ranges of the order column, so part by part and
-chunk by chunk the ids are in ascending order.
+compressed with zstandard. The other columns are the chunk index: part, number in the part, first id, ids, the
+documents that begin in the chunk with their offset, and the document of an earlier chunk that goes on in this one
+(tail). A chunk is thus read without another. Parts are ranges of the order column, so part by part and chunk by chunk
+the ids are in ascending order.
 
 Payload: ``BPL1``, one byte for the planes (0 bytes, 1 bits), the number of ids (u32), the number of planes (u8), the
 length of each compressed plane (u32 each), then the planes. All integers are little-endian.
@@ -33,7 +34,8 @@ END_ID = 2
 _HEAD = struct.Struct("<4sBIB")
 CHUNK_SCHEMA = (
     "part int, chunk int, first_local long, n_ids long, payload binary,"
-    " documents array<struct<doc_id:bigint,at:bigint,n_tokens:bigint>>"
+    " documents array<struct<doc_id:bigint,at:bigint,n_tokens:bigint>>,"
+    " tail struct<doc_id:bigint,at:bigint,n_tokens:bigint>"
 )
 
 
@@ -130,15 +132,17 @@ def _chunk_writer(path: str, end_id: int, block_ids: int, planes: str, level: in
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         end = struct.pack("<I", end_id)
-        pending, held, chunk, documents, total = [], 0, 0, [], 0
+        pending, held, chunk, documents, total, last = [], 0, 0, [], 0, None
 
         def cut(data: bytes) -> pa.RecordBatch:
-            nonlocal chunk, documents
+            nonlocal chunk, documents, last
             first, n = chunk * block_ids, len(data) // 4
             here = [d for d in documents if d["at"] < first + n]
             documents = documents[len(here):]
+            tail = last if last and last["at"] + last["n_tokens"] > first else None
             row = {"part": part, "chunk": chunk, "first_local": first, "n_ids": n,
-                   "payload": pack(np.frombuffer(data, dtype="<u4"), planes, level), "documents": here}
+                   "payload": pack(np.frombuffer(data, dtype="<u4"), planes, level), "documents": here, "tail": tail}
+            last = here[-1] if here else last
             chunk += 1
             return pa.RecordBatch.from_pylist([row], schema=_CHUNKS)
 
@@ -162,10 +166,10 @@ def _chunk_writer(path: str, end_id: int, block_ids: int, planes: str, level: in
     return write
 
 
+_DOCUMENT = pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())])
 _CHUNKS = pa.schema([
     ("part", pa.int32()), ("chunk", pa.int32()), ("first_local", pa.int64()), ("n_ids", pa.int64()),
-    ("payload", pa.binary()),
-    ("documents", pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())]))),
+    ("payload", pa.binary()), ("documents", pa.list_(_DOCUMENT)), ("tail", _DOCUMENT),
 ])
 
 
@@ -196,10 +200,10 @@ def open_store(spark: SparkSession, path: str) -> DataFrame:
     """The chunks with the global number of their first id."""
     chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
     sizes = chunks.groupBy("part").agg(F.sum("n_ids").alias("ids"))
-    # One row per part, not per document or chunk.
+    # One row per part, not per document or chunk: broadcast, so that payloads are never shuffled.
     offsets = sizes.select("part", F.expr(
         "sum(ids) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - ids").alias("part_first"))
-    return chunks.join(offsets, "part").withColumn("first_id", F.col("part_first") + F.col("first_local"))
+    return chunks.join(F.broadcast(offsets), "part").withColumn("first_id", F.col("part_first") + F.col("first_local"))
 
 
 def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,16 +233,8 @@ _DIGEST_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: number of its first id, number of ids, checksum of the ids."""
-    chunks = open_store(spark, path)
-    last = F.element_at("documents", -1)
-    index = chunks.select("part", "chunk", F.when(F.size("documents") > 0, last).alias("began"))
-    # The document still open where a chunk begins: the last one begun in the part before it.
-    index = index.select("part", "chunk", F.expr(
-        "last(began, true) OVER (PARTITION BY part ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    ).alias("tail"))
-    open_tail = F.col("tail.at") + F.col("tail.n_tokens") > F.col("first_local")
-    rows = chunks.join(index, ["part", "chunk"]).withColumn("tail", F.when(open_tail, F.col("tail")))
-    found = rows.select("chunk", "first_local", "n_ids", "payload", "documents", "part_first", "tail").mapInArrow(
+    columns = ["chunk", "first_local", "n_ids", "payload", "documents", "part_first", "tail"]
+    found = open_store(spark, path).select(*columns).mapInArrow(
         _digests, "doc_id long, start long, n_tokens long, chunk int, crc long, piece binary")
     # Documents over several chunks: their pieces, in order, are one document's ids at most.
     pieces = found.groupBy("doc_id", "start", "n_tokens").agg(

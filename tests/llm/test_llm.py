@@ -140,6 +140,31 @@ def test_token_store(spark, planes):
     assert (token_store.unpack(token_store.pack(ids, planes)) == ids).all()
 
 
+def test_token_store_reads_payloads_unshuffled(spark, tmp_path):
+    """Chunks are not dealt out again to be read, however large the store: documents of many chunks, of none, repeated."""
+    rng = random.Random(4)
+    texts = [words(rng, 900), "", words(rng, 3), None, words(rng, 600), *["x"] * 5, words(rng, 31)]
+    docs = frame(spark, texts).unionByName(frame(spark, texts[:1]))
+    path = str(tmp_path / "store")
+    token_store.write_store(docs, tokenizer_path(), path, block_ids=64, parts=2)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = token_store.read_digests(spark, path)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        got = [tuple(r) for r in read.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plan and plan.count("Window") == 1
+    t = tokenizers.Tokenizer.from_file(tokenizer_path())
+    want, start = [], 0
+    for i, text in sorted([*enumerate(texts), (0, texts[0])], key=lambda r: r[0]):
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+        want.append((i, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    assert sorted(got) == sorted(want)
+
+
 def brute_leaks(texts, items):
     def shingles(t):
         w = re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
