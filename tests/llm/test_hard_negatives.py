@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -76,3 +77,48 @@ def test_empty_and_no_anchor(spark):
     assert run(spark, [(1, [0.1, 0.2], 1, None), (2, [0.2, 0.1], 2, None)]) == []
     # an anchor alone in its label: no positives, no rows
     assert run(spark, [(100, [0.1, 0.2], 1, None), (2, [0.2, 0.1], 2, None)]) == []
+
+
+def broadcast_rows(plan):
+    """Rows that went through the driver to be broadcast, in a plan that has run."""
+    total, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "BroadcastExchangeExec":
+            total += node.metrics().apply("numOutputRows").value()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_anchors_are_not_broadcast_for_every_block(spark, monkeypatch):
+    """A copy of the anchors for each of many blocks of rows must not go through the driver."""
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 4)
+    rows = fixture(1500, 8, 2)
+    df = hard_negatives.mine_hard_negatives(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(tuple(r) for r in df.collect()) == brute(rows)
+    assert broadcast_rows(df._jdf.queryExecution().executedPlan()) <= len([r for r in rows if r[0] % 100 == 0])
+
+
+@pytest.mark.parametrize("scale", [1, 40, 500_000])  # scores in floats, doubles and integers
+def test_shares_stripes_and_early_ends(spark, monkeypatch, scale):
+    """Several shares of anchors and stripes of rows; narrow clusters of very different lengths, whose walks end early."""
+    for name, value in {"BLOCK_ROWS": 64, "GROUP_ANCHORS": 4, "CHUNK": 8, "PIECE": 32, "MAX_HITS": 50, "HELD_BYTES": 4096,
+                        "BUNDLE": 2}.items():
+        monkeypatch.setattr(hard_negatives, name, value)
+    rnd = random.Random(3)
+    centres = [[rnd.gauss(0, 1) for _ in range(6)] for _ in range(5)]
+    rows = []
+    for i in range(1200):
+        length = scale * rnd.choice([0.1, 0.5, 1.0])
+        vec = [length * (x + rnd.gauss(0, 0.05)) for x in centres[rnd.randrange(5)]]
+        rows.append((i * 5, vec[: rnd.choice([6, 6, 6, 5, 0])], rnd.randrange(4) if i % 3 else i, "x"))
+    expected = brute([(i, [np.float32(x) for x in v], lab, e) for i, v, lab, e in rows])
+    assert expected
+    assert run(spark, rows) == expected
