@@ -49,7 +49,7 @@ RELABEL_MODULUS = 7
 HYPERPLANES = 4  # clusters of anchors: at most 2 ** HYPERPLANES
 GROUP_ANCHORS = 128  # anchors that share one walked list
 BLOCK_ROWS = 8192  # rows of one block
-CHUNK = 256  # rows a group scores before its first termination test; later as many as it has seen, up to PIECE
+CHUNK = 256  # an eighth of it is scored before a group's first test; later as many rows as it has seen, up to PIECE
 HELD_BYTES = 192 << 20  # of anchors and their results that a task holds
 STRIPE_BYTES = 128 << 20  # of rows that are dealt to a task
 WAVES = 3  # tasks for each core, if the rows suffice
@@ -239,7 +239,7 @@ class _Groups:
                 if not len(active):
                     break
                 end = np.searchsorted(-bound, -need[active].min(), side="right")
-            end = min(end, at + min(PIECE, max(chunk, self.seen[g])))
+            end = min(end, at + min(PIECE, max(1, chunk // 8, self.seen[g])))
             of = slice(at, end) if order is None else order[at:end]
             hit, score = self._reaching(members[active], rows[of], need[active])
             if 64 * len(hit) > len(score):
