@@ -14,8 +14,8 @@ positive's score is negative, since the band is then empty).
 
 Method. Anchors are clustered by the signs of their vectors against ``HYPERPLANES`` fixed random
 directions. Anchors are dealt into shares of about ``HELD_BYTES``, rows into stripes; every (share,
-stripe) pair is one partition, which holds its anchors and streams its rows, and nothing is
-broadcast. A task cuts each cluster of its anchors into groups of ``GROUP_ANCHORS`` and its rows
+stripe) pair is one partition, which holds its anchors and streams its rows; these copies are
+never broadcast. A task cuts each cluster of its anchors into groups of ``GROUP_ANCHORS`` and its rows
 into blocks of ``BLOCK_ROWS``: the group's unit centroid and the widest angle of a member to it
 give each row of a block an upper bound of its score with *any* member (angle difference, largest
 or smallest member norm). The block is sorted by that bound, and the members walk the shared list
